@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import tokens, truncation
+from foliant.llm import canon, chunks, tokens, truncation
 from foliant.session import table
 
 
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.pieces(table(spark, sf_dir, "extracted_docs"), table(spark, sf_dir, "chunk_limits"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts of which the operator makes more than one piece."""
+    return p3_pieces(spark, sf_dir).where("piece_no = 2").select("extract_id")
+
+
+def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.canonical_texts(table(spark, sf_dir, "raw_pages"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.lookalike_pairs(table(spark, sf_dir, "raw_pages"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents"))
 
@@ -30,6 +47,10 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": p3_found,
+    "p3_pieces": p3_pieces,
+    "p4_found": p4_found,
+    "p4_canonical": p4_canonical,
     "p6_ids": p6_ids,
     "p6_roundtrip": p6_roundtrip,
     "p8_found": p8_found,
@@ -37,5 +58,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "p3_found": """
+        SELECT e.extract_id FROM extracted_docs e
+        LEFT JOIN chunk_limits l USING (chunking_strategy)
+        CROSS JOIN (SELECT max_chars FROM chunk_limits WHERE chunking_strategy = 'fallback') f
+        WHERE length(e.extracted_text) > coalesce(l.max_chars, f.max_chars)
+    """,
     "p6_roundtrip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
