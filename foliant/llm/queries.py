@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import canon, chunks, tokens, truncation
+from foliant.llm import canon, chunks, encoding, tokens, truncation
 from foliant.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.garbled_lines(table(spark, sf_dir, "raw_pages")).select(F.col("id").alias("page_id")).distinct()
+
+
+def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.repaired(table(spark, sf_dir, "raw_pages"))
+
+
+def p2_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and pages by chain of encodings."""
+    return encoding.garbled_lines(table(spark, sf_dir, "raw_pages")).groupBy("chain").agg(F.count("*").alias("n_lines"), F.countDistinct("id").alias("n_pages"))
+
+
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.pieces(table(spark, sf_dir, "extracted_docs"), table(spark, sf_dir, "chunk_limits"))
 
@@ -47,6 +60,9 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_repaired": p2_repaired,
+    "p2_chains": p2_chains,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
     "p4_found": p4_found,
