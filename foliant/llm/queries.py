@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import canon, chunks, encoding, tokens, truncation
+from foliant.llm import canon, chunks, encoding, scans, tokens, truncation
 from foliant.session import table
 
 
@@ -41,6 +41,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.lookalike_pairs(table(spark, sf_dir, "raw_pages"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.noise(table(spark, sf_dir, "raw_pages"))
+
+
+def p5_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.clean_pages(table(spark, sf_dir, "raw_pages"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents"))
 
@@ -67,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_pieces": p3_pieces,
     "p4_found": p4_found,
     "p4_canonical": p4_canonical,
+    "p5_found": p5_found,
+    "p5_clean": p5_clean,
     "p6_ids": p6_ids,
     "p6_roundtrip": p6_roundtrip,
     "p8_found": p8_found,

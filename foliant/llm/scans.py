@@ -239,8 +239,9 @@ BODY = re.compile(r"^\s*(?:[-+*•·–]\s|\(?\d{1,3}[.)]\s|\(?[a-zđ]\)\s)|^
 NUMBER = re.compile(
     r"^\W{0,3}(?P<word>trang|page|tr|p|pg|trg|số trang|tờ)?[.:\s]*\W{0,2}(?P<n>[\dlIoO!]{1,4}|[ivxlc]{1,9})\s*(?P<of>(?:/|of|sur|trên|trong|de)\s*(?P<m>[\dlIoO!]{1,4}))?\W{0,3}$", re.I
 )
+MIRROR = str.maketrans("([{<«", ")]}>»")
 ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
-SHAPES = str.maketrans({"l": "i", "1": "i", "!": "i", "j": "i", "0": "o", "9": "g", "q": "g", "5": "s", "^": "n", "@": "a", "8": "b", "$": "a", "f": "t", "c": "e", "v": "y"})
+ALIKE = {"l": "i", "1": "i", "!": "i", "j": "i", "0": "o", "9": "g", "q": "g", "5": "s", "^": "n", "@": "a", "8": "b", "6": "b", "$": "a", "f": "t", "+": "t", "c": "e", "v": "y", "h": "ii"}
 
 
 def _roman(word: str) -> int | None:
@@ -259,6 +260,10 @@ def page_number(line: str) -> tuple[str, int] | None:
     if not m:
         return None
     said = m["n"]
+    # A frame is the same on both sides; what stands on one side only belongs to a sentence.
+    before, after = re.match(r"\W*", line.strip())[0].strip(), re.search(r"\W*$", line.strip())[0].strip()
+    if before.translate(MIRROR) != after[::-1] and not (m["word"] and after in ("", ".")):
+        return None
     if re.fullmatch(r"[\dlIoO!]+", said) and re.search(r"\d", said) or said.isdigit():
         n = int(said.translate(str.maketrans("lI!oO", "11100")))
     elif re.fullmatch(r"[ivxlc]+", said, re.I) and (r := _roman(said)):
@@ -272,31 +277,45 @@ def page_number(line: str) -> tuple[str, int] | None:
     return ("bare" if said == line.strip() else "framed"), n
 
 
+class _Shapes(dict):
+    """A translation table to base letters, those that scanners confuse as one; signs go, blanks and # stay."""
+
+    def __missing__(self, c: int) -> str:
+        base = "".join(x for x in unicodedata.normalize("NFD", chr(c).lower().replace("đ", "d")) if not unicodedata.combining(x))
+        self[c] = out = "".join(ALIKE.get(x, x if x.isalpha() or x in " #" else "") for x in base)
+        return out
+
+
+_SHAPES = _Shapes()
+NUMERAL = re.compile(r"(?<![^\W_])(?:\d[\d.,:/-]*|[^\W\d_]*\d[^\W\d_]*\d\w*)(?![^\W_])|(?<![^\W_])[ivxlc]+$")
+
+
 def shape(line: str) -> str:
     """A line's wording without numbers, accents and what scanners confuse."""
-    out = []
-    for token in line.lower().split():
-        bare = token.strip(STRIP)
-        if bare and (re.fullmatch(r"[\d.,:/-]+", bare) or re.fullmatch(r"[ivxlc]+", bare) and _roman(bare)):
-            out.append("#")
-            continue
-        token = re.sub(r"\d+", "#", token) if sum(c.isdigit() for c in token) >= 2 else token
-        said = _base(token.replace("đ", "d")).replace("ii", "u").replace("li", "h").replace("ri", "n").replace("rn", "m").translate(SHAPES)
-        out.append(re.sub(r"[^a-z#]", "", said))
-    return " ".join(x for x in out if x)
+    said = NUMERAL.sub("#", line.lower()).translate(_SHAPES)
+    return " ".join(said.replace("ii", "u").replace("rn", "m").replace("ri", "n").split())
 
 
 def readable(line: str) -> str:
     """A line in canonical form, its encoding put right where a chain plainly does so."""
-    if encoding._SUSPECT.search(line) or encoding._MISPLACED.search(line):
-        worst = len(encoding._SUSPECT.findall(line)) + len(encoding._MISPLACED.findall(line))
-        best, out = worst, line
-        for undo in encoding.CHAINS.values():
-            said = undo(line)
-            if said != line and (n := len(encoding._SUSPECT.findall(said)) + len(encoding._MISPLACED.findall(said))) < best:
-                best, out = n, said
-        line = out
-    return canonical(line)
+    n = len(encoding._SUSPECT.findall(line)) + len(encoding._MISPLACED.findall(line))
+    if not n:
+        return canonical(line)
+    best, out, chosen = n, line, None
+    for undo in _CHAINS:
+        said = undo(line)
+        if said != line and (n := len(encoding._SUSPECT.findall(said)) + len(encoding._MISPLACED.findall(said))) < best:
+            best, out, chosen = n, said, undo
+            if not n:
+                break
+    if chosen is not None and _CHAINS[0] is not chosen:
+        # The next line is likely to need the same.
+        _CHAINS.remove(chosen)
+        _CHAINS.insert(0, chosen)
+    return canonical(out)
+
+
+_CHAINS = list(encoding.CHAINS.values())
 
 
 class Reader:
