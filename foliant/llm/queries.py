@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import canon, chunks, encoding, scans, tokens, truncation
+from foliant.llm import canon, chunks, encoding, mixing, quality, scans, tokens, truncation
 from foliant.session import table
 
 
+def p1_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.page_kinds(table(spark, sf_dir, "raw_pages"), table(spark, sf_dir, "common_words"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_stats(spark, sf_dir).where("kind <> 'prose'").select("page_id", "kind")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.garbled_lines(table(spark, sf_dir, "raw_pages")).select(F.col("id").alias("page_id")).distinct()
 
@@ -59,6 +67,15 @@ def p6_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_text(tokens.token_ids(docs)).select("doc_id", "text")
 
 
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares reached, beside the targets."""
+    return mixing.shares(p7_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncated(table(spark, sf_dir, "documents")).where("truncated").select(F.col("id").alias("doc_id"))
 
@@ -68,6 +85,8 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_stats": p1_stats,
     "p2_found": p2_found,
     "p2_repaired": p2_repaired,
     "p2_chains": p2_chains,
@@ -79,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_clean": p5_clean,
     "p6_ids": p6_ids,
     "p6_roundtrip": p6_roundtrip,
+    "p7_mixture": p7_mixture,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
     "p8_rates": p8_rates,
 }
