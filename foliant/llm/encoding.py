@@ -161,8 +161,18 @@ _PLAIN = "".join(ch for ch in letters.KNOWN if ch not in "°") + "".join(map(chr
 SUSPECT = "[^\\x00-\\x7f" + "".join(f"\\u{ord(c):04x}" for c in sorted(_PLAIN) if ord(c) > 0x7F) + "]"
 _SUSPECT = re.compile(SUSPECT)
 #: Legacy code pages may use letters of the languages only, but then in places where none can be.
-MISPLACED = r"[aeiouyêôâăơưýìòAEIOUY][ìòÌÒÞ]|ð|[a-z][ÌÒÞÑØ]"
+MISPLACED = r"[ìòÌÒÞðÑØ](?:(?<=[aeiouyêôâăơưýìòAEIOUY][ìòÌÒÞ])|(?<=ð)|(?<=[a-z][ÌÒÞÑØ]))"
 _MISPLACED = re.compile(MISPLACED)
+
+
+def strange(text: str) -> bool:
+    """Has it characters that clean text doesn't have, or that one can't have there?
+
+    Python's character classes are bit maps; the same class is many times slower in the JVM.
+    """
+    return bool(_SUSPECT.search(text) or _MISPLACED.search(text) or "?" in text)
+
+
 QUOTED = re.compile(r"([“\"«‘'(\[])([^“”\"«»‘’'()\[\]\s]{1,8})([”\"»’')\]])")
 EDGE = re.compile("[¬­‐-]+[ \\t]*$|^[ \\t]*[-·•*]")
 
@@ -210,11 +220,10 @@ def _evidence(model: np.ndarray, lines: list[str]) -> np.ndarray:
 
 def evidence(df: DataFrame, key: str, text: str, sources: list[str]) -> DataFrame:
     """One row per suspicious line: ``id``, ``source``, ``line`` (from 0), ``likes``: a log likelihood for each of NAMES."""
-    suspicious = F.col("text").rlike(SUSPECT) | F.col("text").rlike(MISPLACED) | F.col("text").rlike(r"\p{L}\?\p{L}")
     source = F.concat_ws("\x1f", *(F.coalesce(F.col(s).cast("string"), F.lit("")) for s in sources), F.lit(text))
     rows = df.select(F.col(key).alias("id"), source.alias("source"), F.col(text).alias("text"))
-    clean = rows.where(~suspicious).select("text")
-    model = letters.log_model(letters.pair_counts(clean, "text"))
+    rows = rows.where(F.length("text") > 0)
+    model = letters.log_model(letters.pair_counts(rows, "text", strange))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("source", T.StringType()), T.StructField("line", T.IntegerType()), T.StructField("likes", T.ArrayType(T.DoubleType()))])
     names = schema.fieldNames()
 
@@ -224,10 +233,12 @@ def evidence(df: DataFrame, key: str, text: str, sources: list[str]) -> DataFram
             where: list[tuple] = []
             lines: list[str] = []
             for i, s, said in zip(ids, froms, texts, strict=True):
+                if not strange(said):
+                    continue
                 for n, line in enumerate(said.split("\n")):
-                    if _SUSPECT.search(line) or _MISPLACED.search(line) or "?" in line:
+                    if strange(line):
                         bare = _bare(line.rstrip("\r"))
-                        if _SUSPECT.search(bare) or _MISPLACED.search(bare) or "?" in bare:
+                        if strange(bare):
                             where.append((i, s, n))
                             lines.append(bare)
             if lines:
@@ -236,7 +247,7 @@ def evidence(df: DataFrame, key: str, text: str, sources: list[str]) -> DataFram
                 likes = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, K, dtype=np.int32)), pa.array(found.ravel()))
                 yield pa.RecordBatch.from_arrays([*head, likes], names)
 
-    return rows.where(suspicious).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def posteriors(seen: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ driver and sent to every task, whatever the corpus.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +51,11 @@ def codes(text: str) -> np.ndarray:
     return CLASSES[np.minimum(points, 0x10000)]
 
 
-def pair_counts(df: DataFrame, text: str) -> np.ndarray:
-    """How often each class follows each class, over all texts of ``df``: at most SIZE x SIZE numbers."""
+def pair_counts(df: DataFrame, text: str, strange: Callable[[str], bool] = lambda said: False) -> np.ndarray:
+    """How often each class follows each class, over all texts of ``df`` that aren't strange.
+
+    The result has at most SIZE x SIZE numbers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE * SIZE, dtype=np.int64)
@@ -60,6 +63,8 @@ def pair_counts(df: DataFrame, text: str) -> np.ndarray:
             held: list[str] = []
             size = 0
             for said in batch.column(0).to_pylist():
+                if strange(said):
+                    continue
                 held.append(said)
                 size += len(said)
                 if size > 1_000_000:
