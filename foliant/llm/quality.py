@@ -102,7 +102,7 @@ def _symbol(line: str, doubtful: bool) -> str:
         if judged and sum(judged) < 0.45 * len(judged):
             return "J"
         # Single letters and signs, far apart.
-        pieces = cells.split()
+        pieces = re.sub(r"(?:[.·] ){3,}[.·]?", "", cells).split()
         if len(pieces) >= 6 and sum(len(x) == 1 and not x.isdigit() for x in pieces) > 0.6 * len(pieces):
             return "J"
     first, last, n = said[0], said[-1], len(said)
