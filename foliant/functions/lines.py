@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,30 +35,48 @@ LETTER = r"^([a-zA-ZđĐ])[\.)/]\s+(.+)$"
 
 
 def starts(c: Column, values: list[str]) -> Column:
-    out = F.lit(False)
-    for v in values:
-        out = out | c.startswith(v)
-    return out
+    """Does it start with one of these? One expression, whatever their number."""
+    return c.rlike("^(?:" + "|".join(rf"\Q{v}\E" for v in values) + ")")
 
 
 def has(c: Column, pattern: str) -> Column:
     return c.rlike(f"(?U){pattern}")
 
 
-def is_article(c: Column) -> Column:
-    return has(c, r"^(Điều|ĐIỀU|Dieu|DIEU)\s+\d+[\.:]?\s*")
+@dataclass(frozen=True)
+class Line:
+    """A cleaned line with what its predicates share: its marker and the keys of the line and of its content.
+
+    Over a DataFrame, ``pages.analysed`` has these as columns, so that each is computed once per line.
+    """
+
+    c: Column
+    marker: Column
+    key: Column
+    content_key: Column
+
+    @classmethod
+    def of(cls, x: Column | Line) -> Line:
+        if isinstance(x, Line):
+            return x
+        m = marker(x)
+        return cls(x, m, match_key(x), match_key(m["content"]))
+
 
+def is_article(x: Column | Line) -> Column:
+    return has(Line.of(x).c, r"^(Điều|ĐIỀU|Dieu|DIEU)\s+\d+[\.:]?\s*")
 
-def is_chapter(c: Column) -> Column:
-    return has(c, r"^(Chương|CHƯƠNG|Chuong|CHUONG)\s+([IVXLCDM]+|\d+)")
 
+def is_chapter(x: Column | Line) -> Column:
+    return has(Line.of(x).c, r"^(Chương|CHƯƠNG|Chuong|CHUONG)\s+([IVXLCDM]+|\d+)")
 
-def is_section(c: Column) -> Column:
-    return has(c, r"^(Mục|MỤC|Muc|MUC)\s+\d+")
 
+def is_section(x: Column | Line) -> Column:
+    return has(Line.of(x).c, r"^(Mục|MỤC|Muc|MUC)\s+\d+")
 
-def is_title(c: Column) -> Column:
-    key = match_key(c)
+
+def is_title(x: Column | Line) -> Column:
+    key = Line.of(x).key
     return key.isin(TITLES) | (starts(key, FORM_TITLES) & (F.length(key) <= 120))
 
 
@@ -66,6 +86,7 @@ def is_contents(c: Column) -> Column:
 
 def marker(c: Column) -> Column:
     """STRUCT kind (number, roman, letter or null), mark, content; a line without a marker is all content."""
+
     def split(kind: str, pattern: str) -> Column:
         p = f"(?U){pattern}"
         return F.struct(F.lit(kind).alias("kind"), F.regexp_extract(c, p, 1).alias("mark"), strip(F.regexp_extract(c, p, 2)).alias("content"))
@@ -74,50 +95,52 @@ def marker(c: Column) -> Column:
     return F.when(has(c, NUMBER), split("number", NUMBER)).when(has(c, ROMAN), split("roman", ROMAN)).when(has(c, LETTER), split("letter", LETTER)).otherwise(none)
 
 
-def is_process(c: Column) -> Column:
+def is_process(x: Column | Line) -> Column:
     """The heading of a process or a flow chart, behind its marker if it has one."""
-    return (c != "") & ~is_contents(c) & match_key(marker(c)["content"]).rlike(r"^(quy trinh|luu do)\b")
+    x = Line.of(x)
+    return (x.c != "") & x.content_key.rlike(r"^(quy trinh|luu do)\b") & ~is_contents(x.c)
 
 
-def is_strong_heading(c: Column) -> Column:
-    return starts(match_key(c), HEADINGS) | ((F.length(c) <= 130) & (upper_ratio(c) >= 0.65))
+def is_strong_heading(c: Column, key: Column | None = None) -> Column:
+    return starts(match_key(c) if key is None else key, HEADINGS) | ((F.length(c) <= 130) & (upper_ratio(c) >= 0.65))
 
 
-def says_heading(c: Column) -> Column:
+def says_heading(c: Column, key: Column | None = None) -> Column:
     """Does what stands behind a marker read like a heading?"""
     sentence = (F.length(c) > 120) & has(c, "[.;,]$")
-    return (c != "") & ~is_contents(c) & ~sentence & (is_strong_heading(c) | ((F.length(c) <= 90) & c.endswith(":")))
+    return (c != "") & ~is_contents(c) & ~sentence & (is_strong_heading(c, key) | ((F.length(c) <= 90) & c.endswith(":")))
 
 
-def marker_level(c: Column) -> Column:
+def marker_level(x: Column | Line) -> Column:
     """The level of a heading by its marker, or null."""
-    m = marker(c)
-    content = m["content"]
+    x = Line.of(x)
+    m, content = x.marker, x.marker["content"]
     depth = F.length(F.regexp_replace(F.regexp_replace(m["mark"], r"[.)]+$", ""), r"[^.]", ""))
     after = strip(F.regexp_extract(content, "(?s)^[^:]*:(.*)$", 1))
     explained = content.contains(":") & (after != "") & (F.size(F.split(after, r"(?U)\s+")) >= 3)
     return F.when(
-        m["kind"].isNotNull() & says_heading(content),
+        m["kind"].isNotNull() & says_heading(content, x.content_key),
         F.when(m["kind"] == "roman", 2)
-        .when((m["kind"] == "number") & (depth == 0), F.when(is_strong_heading(content), 2))
+        .when((m["kind"] == "number") & (depth == 0), F.when(is_strong_heading(content, x.content_key), 2))
         .when((m["kind"] == "number") & (depth == 1), 3)
         .when(m["kind"] == "number", 4)
         .when(~explained, 4),
     )
 
 
-def is_structural(c: Column) -> Column:
+def is_structural(x: Column | Line, level: Column | None = None) -> Column:
     """Lines that are never joined to the one before."""
+    x = Line.of(x)
     return (
-        (c == "")
-        | starts(c, ["<!--", "#", *APART])
-        | c.rlike(r"\.{6,}|_{4,}|\[ \]")
-        | is_article(c)
-        | is_chapter(c)
-        | is_section(c)
-        | is_title(c)
-        | is_process(c)
-        | marker_level(c).isNotNull()
+        (x.c == "")
+        | starts(x.c, ["<!--", "#", *APART])
+        | x.c.rlike(r"\.{6,}|_{4,}|\[ \]")
+        | is_article(x)
+        | is_chapter(x)
+        | is_section(x)
+        | is_title(x)
+        | is_process(x)
+        | (marker_level(x) if level is None else level).isNotNull()
     )
 
 
@@ -134,27 +157,32 @@ def goes_on(c: Column) -> Column:
     return c.rlike(r"^\p{Ll}") | c.rlike(r"(?iU)^(?:" + "|".join(JOINING) + r")\b")
 
 
-def joins(before: Column, line: Column, line_apart: Column | None = None, eager: bool = False) -> Column:
-    """Is the line the continuation of what stands before it? ``line_apart``: is_structural | is_item, if known."""
-    apart = is_structural(line) | is_item(line) if line_apart is None else line_apart
+def joins_after(before: Column, line: Column, goes: Column, eager: bool = False) -> Column:
+    """Does a line that may be joined continue what stands before it? ``goes``: goes_on(line)."""
     shouted = (F.length(before) > 8) & before.rlike(r"\p{L}") & (F.upper(before) == before)
-    more = ends_open(before) | goes_on(line)
+    more = ends_open(before) | goes
     if eager:
         more = more | ~starts(line, SIGNATURES)
-    return (before != "") & (line != "") & ~apart & ~before.rlike(r"[.;:!?]$") & ~shouted & more
+    return (before != "") & ~before.rlike(r"[.;:!?]$") & ~shouted & more
+
+
+def joins(before: Column, line: Column, eager: bool = False) -> Column:
+    """Is the line the continuation of the one before it?"""
+    return (line != "") & ~is_structural(line) & ~is_item(line) & joins_after(before, line, goes_on(line), eager)
 
 
-def markdown_line(c: Column) -> Column:
+def markdown_line(x: Column | Line, level: Column | None = None) -> Column:
     """A line as Markdown: the first rule that holds gives its level."""
-    level = marker_level(c)
+    x = Line.of(x)
+    level = marker_level(x) if level is None else level
     return (
-        F.when(c.startswith("<!--"), c)
-        .when(is_title(c), F.concat(F.lit("# "), c))
-        .when(is_process(c), F.concat(F.lit("## "), c))
-        .when(level.isNotNull(), F.concat(F.repeat(F.lit("#"), level), F.lit(" "), c))
-        .when(is_chapter(c), F.concat(F.lit("## "), c))
-        .when(is_section(c) | is_article(c), F.concat(F.lit("### "), c))
-        .otherwise(c)
+        F.when(x.c.startswith("<!--"), x.c)
+        .when(is_title(x), F.concat(F.lit("# "), x.c))
+        .when(is_process(x), F.concat(F.lit("## "), x.c))
+        .when(level.isNotNull(), F.concat(F.repeat(F.lit("#"), level), F.lit(" "), x.c))
+        .when(is_chapter(x), F.concat(F.lit("## "), x.c))
+        .when(is_section(x) | is_article(x), F.concat(F.lit("### "), x.c))
+        .otherwise(x.c)
     )
 
 

@@ -22,11 +22,14 @@ class Rule:
     to: str
     ignore_case: bool = True
     literal: bool = False
+    #: A cheap pattern that every text with a match has; others are passed by.
+    needs: str | None = None
 
     def apply(self, c: Column) -> Column:
         if self.literal:
             return F.replace(c, F.lit(self.pattern), F.lit(self.to))
-        return F.regexp_replace(c, ("(?iU)" if self.ignore_case else "(?U)") + self.pattern, self.to)
+        out = F.regexp_replace(c, ("(?iU)" if self.ignore_case else "(?U)") + self.pattern, self.to)
+        return out if self.needs is None else F.when(c.rlike(self.needs), out).otherwise(c)
 
 
 def compile_rules(c: Column, rules: Sequence[Rule]) -> Column:
@@ -51,7 +54,7 @@ GLUED = ["CTSV", "ĐRL", "CVHT", "QĐ", "BGH", "SV", "CTCT", "KHTH"]
 
 COMMON_WORDS = [Rule(r"\b" + a.replace(" ", r"\s+") + r"\b", b) for a, b in MISREADINGS]
 LINKS = [
-    Rule(r"([A-Za-z0-9._%+\-]+)\s*[\(\[]?\s*(?:@|Q|O|0|©|ⓐ)\s*([A-Za-z0-9.\-]+\.(?:vn|com|edu\.vn|org|net))", "$1@$2"),
+    Rule(r"([A-Za-z0-9._%+\-]+)\s*[\(\[]?\s*(?:@|Q|O|0|©|ⓐ)\s*([A-Za-z0-9.\-]+\.(?:vn|com|edu\.vn|org|net))", "$1@$2", needs=r"(?i)\.(?:vn|com|org|net)"),
     Rule(r"(https?://)\s+", "$1"),
     Rule(r"(www\.)\s+", "$1"),
     Rule(r"\s+(/[^\s]*)", "$1", False),
@@ -77,15 +80,16 @@ def basic_signs(c: Column) -> Column:
 def phone_numbers(c: Column) -> Column:
     """Numbers behind a telephone label without blanks: each match's blanks go one by one, from the left."""
     blank = r"(?iU)((?:\bĐT|\bĐiện thoại)\s*:?\s*[0-9][0-9.\-]*)\s+(?=[0-9 .\-]*[0-9.\-])"
+    out = c
     for _ in range(6):  # a number has at most so many groups
-        c = F.regexp_replace(c, blank, "$1")
-    return c
+        out = F.regexp_replace(out, blank, "$1")
+    return F.when(c.rlike(r"(?iu)ĐT|điện thoại"), out).otherwise(c)
 
 
 def question_dashes(c: Column) -> Column:
     """A "?" between two noun phrases was a dash."""
     word = "[A-Za-zÀ-ỹ0-9\\)]+"
-    c = rx(c, rf"({word}(?:\s+{word}){{0,4}})\?\s+([A-ZĐÀ-Ỹ][A-Za-zÀ-ỹ0-9]+)", "$1 – $2")
+    c = Rule(rf"({word}(?:\s+{word}){{0,4}})\?\s+([A-ZĐÀ-Ỹ][A-Za-zÀ-ỹ0-9]+)", "$1 – $2", False, needs=r"\?").apply(c)
     return F.replace(c, F.lit(" ? "), F.lit(" – "))
 
 

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.functions.text import clean_line
 
@@ -98,111 +100,117 @@ def _centers(xs: list[float], gap: float) -> list[float]:
     return sorted(sum(v) / len(v) for v in groups.values())
 
 
-def grid_of(pdf: pd.DataFrame) -> list[list[str]]:
+Box = dict  # box_no, left, top, x_center, y_center, height, text, conf
+
+
+def _rows(page: list[Box]) -> list[list[Box]]:
+    page = sorted(page, key=lambda b: (b["y_center"], b["box_no"]))
+    gap = max(12.0, sum(b["height"] for b in page) / len(page) * 0.8)
+    rows: dict[int, list[Box]] = {}
+    for b, g in zip(page, _first_fit([b["y_center"] for b in page], gap), strict=True):
+        rows.setdefault(g, []).append(b)
+    return [sorted(r, key=lambda b: b["x_center"]) for _, r in sorted(rows.items())]
+
+
+def _nearest(x: float, centers: list[float]) -> tuple[int, float]:
+    near = [abs(x - c) for c in centers]
+    return near.index(min(near)), min(near)
+
+
+def grid_of(page: list[Box]) -> list[list[str]]:
     """Rows of cells of one page's boxes, or [] where they are no grid."""
-    if len(pdf) < 4:
+    if len(page) < 4:
         return []
-    rows = _rows(pdf)
-    if len(rows) < 2:
-        return []
-    centers = _centers([x for r in rows for x in r["x_center"]], 50)
-    if len(centers) < 2:
+    rows = _rows(page)
+    centers = _centers([b["x_center"] for r in rows for b in r], 50)
+    if len(rows) < 2 or len(centers) < 2:
         return []
     out = []
     for r in rows:
         line = [""] * len(centers)
-        for x, said in zip(r["x_center"], r["text"], strict=True):
-            near = [abs(x - c) for c in centers]
-            k = near.index(min(near))
-            line[k] = f"{line[k]} {said}".strip() if line[k] else said
+        for b in r:
+            k, _ = _nearest(b["x_center"], centers)
+            line[k] = f"{line[k]} {b['text']}".strip()
         out.append(line)
     return out
 
 
-def _rows(pdf: pd.DataFrame) -> list[pd.DataFrame]:
-    pdf = pdf.sort_values(["y_center", "box_no"], kind="stable")
-    pdf = pdf.assign(_row=_first_fit(pdf["y_center"].tolist(), max(12.0, float(pdf["height"].mean()) * 0.8)))
-    return [g.sort_values("x_center", kind="stable") for _, g in pdf.groupby("_row", sort=True)]
-
-
-def is_grid(pdf: pd.DataFrame) -> bool:
+def is_grid(page: list[Box]) -> bool:
     """Do one page's boxes look like a table? Strict, so that running text isn't taken for one."""
-    pdf = pdf[pdf["conf"].isna() | (pdf["conf"] >= 0.25)]
-    if len(pdf) < 12:
+    page = [b for b in page if b["conf"] is None or b["conf"] >= 0.25]
+    if len(page) < 12:
         return False
-    rows = _rows(pdf)
+    rows = _rows(page)
     several = [r for r in rows if len(r) >= 2]
-    if len(rows) < 4 or len(several) < 4:
-        return False
-    centers = _centers([x for r in several for x in r["x_center"]], 45)
-    if len(centers) < 2:
+    centers = _centers([b["x_center"] for r in several for b in r], 45)
+    if len(several) < 4 or len(centers) < 2:
         return False
-    good = 0
-    for r in several:
-        used = set()
-        for x in r["x_center"]:
-            near = [abs(x - c) for c in centers]
-            if min(near) <= 45:
-                used.add(near.index(min(near)))
-        good += len(used) >= 2
-    return good >= 4 and good / max(1, len(rows)) >= 0.45
-
-
-def reading_order(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One page's boxes with ``line_no`` and ``pos`` in reading order: lines by their centre, then from the left."""
-    heights = sorted(pdf["height"])
+    good = sum(len({k for k, d in (_nearest(b["x_center"], centers) for b in r) if d <= 45}) >= 2 for r in several)
+    return good >= 4 and good / len(rows) >= 0.45
+
+
+def reading_order(page: list[Box]) -> list[tuple[int, Box]]:
+    """(line, box) of one page's boxes in reading order: lines by their centre, then from the left."""
+    heights = sorted(b["height"] for b in page)
     gap = max(8.0, heights[len(heights) // 2] * 0.65)
-    pdf = pdf.sort_values(["top", "left", "box_no"], kind="stable")
-    pdf = pdf.assign(line_no=_first_fit(pdf["y_center"].tolist(), gap))
-    pdf = pdf.sort_values(["line_no", "left"], kind="stable")
-    return pdf.assign(line_no=pdf["line_no"] + 1, pos=range(1, len(pdf) + 1))
+    page = sorted(page, key=lambda b: (b["top"], b["left"], b["box_no"]))
+    lines = list(zip(_first_fit([b["y_center"] for b in page], gap), page, strict=True))
+    return [(g + 1, b) for g, b in sorted(lines, key=lambda x: (x[0], x[1]["left"]))]
 
 
-def _slim(boxes: DataFrame, page: list[str]) -> DataFrame:
-    """What the clusterings need: boxes with corners and text, copies once."""
+def _by_page(boxes: DataFrame, page: list[str]) -> DataFrame:
+    """``page, boxes``: what the clusterings need of each page: boxes with corners and text, copies once."""
     have = boxes.dropna(subset=[*page, "x0", "y0", "x1", "y1"])
     m = measured(readable(distinct_boxes(have, page, "box_no")))
-    return m.select(*page, "box_no", F.least("x0", "x1").alias("left"), F.least("y0", "y1").alias("top"), "x_center", "y_center", "height", clean_line(F.col("box_text")).alias("text"), "conf")
+    box = F.struct("box_no", F.least("x0", "x1").alias("left"), F.least("y0", "y1").alias("top"), "x_center", "y_center", "height", clean_line(F.col("box_text")).alias("text"), "conf")
+    return m.groupBy(*page).agg(F.collect_list(box).alias("boxes"))
 
 
-def _per_page(page: list[str], work: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = work(pdf)
-        for i, k in enumerate(page):
-            out.insert(i, k, pdf[k].iloc[0])
-        return out
+def _each_page(boxes: DataFrame, page: list[str], fields: str, work: Callable[[list[Box]], list[tuple]]) -> DataFrame:
+    """``page`` and ``fields`` of the rows that ``work`` makes of each page."""
+    pages = _by_page(boxes, page)
+    schema = T.StructType([*(pages.schema[k] for k in page), *T.StructType.fromDDL(fields).fields])
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(len(page))), strict=True))
+            rows = [(*k, *r) for k, b in zip(keys, batch.column(len(page)).to_pylist(), strict=True) for r in work(b)]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+            kinds = to_arrow_schema(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds.field(i).type) for i, c in enumerate(columns)], schema=kinds)
+
+    return pages.mapInArrow(run, schema)
 
 
 def page_tables(boxes: DataFrame, page: list[str]) -> DataFrame:
     """``page, is_table, n_rows, n_columns, grid`` of every page with boxes; ``grid`` are its cells by row."""
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        grid = grid_of(pdf)
-        return pd.DataFrame({"is_table": [is_grid(pdf)], "n_rows": [len(grid)], "n_columns": [len(grid[0]) if grid else 0], "grid": [grid]})
+    def work(b: list[Box]) -> list[tuple]:
+        grid = grid_of(b)
+        return [(is_grid(b), len(grid), len(grid[0]) if grid else 0, grid)]
 
-    slim = _slim(boxes, page)
-    kinds = ", ".join(f"`{k}` {slim.schema[k].dataType.simpleString()}" for k in page)
-    return slim.groupBy(*page).applyInPandas(_per_page(page, work), f"{kinds}, is_table boolean, n_rows int, n_columns int, grid array<array<string>>")
+    return _each_page(boxes, page, "is_table boolean, n_rows int, n_columns int, grid array<array<string>>", work)
 
 
 def in_reading_order(boxes: DataFrame, page: list[str]) -> DataFrame:
     """``page, box_no, line_no, pos, text``: the boxes of each page in reading order, copies once."""
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        return reading_order(pdf)[["box_no", "line_no", "pos", "text"]].reset_index(drop=True)
+    def work(b: list[Box]) -> list[tuple]:
+        return [(x["box_no"], g, n, x["text"]) for n, (g, x) in enumerate(reading_order(b), 1)]
 
-    slim = _slim(boxes, page)
-    kinds = ", ".join(f"`{k}` {slim.schema[k].dataType.simpleString()}" for k in page)
-    return slim.groupBy(*page).applyInPandas(_per_page(page, work), f"{kinds}, box_no int, line_no int, pos int, text string")
+    return _each_page(boxes, page, "box_no int, line_no int, pos int, text string", work)
 
 
 def page_texts(boxes: DataFrame, page: list[str]) -> DataFrame:
     """``page, text``: the text of each page from its boxes, lines by reading order."""
-    ordered = in_reading_order(boxes, page)
-    lines = ordered.groupBy(*page, "line_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("line"))
-    return lines.groupBy(*page).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
+
+    def work(b: list[Box]) -> list[tuple]:
+        lines: dict[int, list[str]] = {}
+        for g, x in reading_order(b):
+            lines.setdefault(g, []).append(x["text"])
+        return [("\n".join(" ".join(x) for x in lines.values()),)]
+
+    return _each_page(boxes, page, "text string", work)
 
 
 def flattened(values: Iterator) -> Iterator[tuple[list[list[float]], str | None]]:

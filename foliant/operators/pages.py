@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.functions.lines import is_item, is_structural, joins, markdown_line, starts
+from foliant.functions.lines import Line, is_item, is_structural, starts
 from foliant.functions import lines as P
-from foliant.functions.text import clean_line, clean_text, edge_key, layout_key, trim_rules
+from foliant.functions.text import clean_line, clean_text, edge_key, layout_key, match_key, trim_rules
 
 
 def lines_of(df: DataFrame, keys: list[str], text: str, number: str = "line_no", line: str = "line") -> DataFrame:
@@ -17,16 +17,34 @@ def lines_of(df: DataFrame, keys: list[str], text: str, number: str = "line_no",
     return df.select(*keys, (F.col("_n") + 1).alias(number), line)
 
 
+def analysed(lines: DataFrame, line: str = "line") -> tuple[DataFrame, Line]:
+    """The lines with columns for what their predicates share, and a view of these columns.
+
+    Each step is a projection of its own, so nothing is computed twice.
+    """
+    df = lines.withColumn("_c", clean_line(F.col(line))).withColumn("_m", P.marker(F.col("_c"))).withColumn("_key", match_key(F.col("_c")))
+    df = df.withColumn("_content_key", F.when(F.col("_m.kind").isNull(), F.col("_key")).otherwise(match_key(F.col("_m.content"))))
+    view = Line(F.col("_c"), F.col("_m"), F.col("_key"), F.col("_content_key"))
+    return df.withColumn("_level", P.marker_level(view)), view
+
+
 def repeated_lines(lines: DataFrame, document: str, page: str, line: str = "line", min_ratio: float = 0.6, pages: DataFrame | None = None) -> DataFrame:
     """``document, key, n_pages``: lines on at least max(2, floor(min_ratio * pages)) pages of a document.
 
     A document of less than three pages has none. ``pages`` has the (document, page) pairs that count as pages if
-    some have no lines. Structural lines and lines under five characters don't count.
+    some have no lines. Structural lines and lines under five characters don't count. Keys are counted first, and
+    only those on enough pages are tested for structure: it depends on the key's lines alone.
     """
     every = (pages if pages is not None else lines).select(document, page).distinct().groupBy(document).agg(F.count("*").alias("_pages"))
-    said = clean_line(F.col(line))
-    keys = lines.select(document, page, said.alias("_line")).where((F.length("_line") >= 5) & ~is_structural(F.col("_line")))
-    counts = keys.select(document, page, edge_key(F.col("_line")).alias("key")).distinct().groupBy(document, "key").agg(F.count("*").alias("n_pages"))
+    said = lines.select(document, page, clean_line(F.col(line)).alias("_c")).where(F.length("_c") >= 5)
+    # Structure depends on the digits, too, so lines stay apart within a key until they are tested.
+    texts = said.groupBy(document, "_c").agg(F.collect_set(page).alias("_on"))
+    df, view = analysed(texts, "_c")
+    # The test is aggregated, not filtered by: a filter would be pushed below the steps of the analysis and
+    # take all of them into its condition.
+    tested = df.select(document, edge_key(F.col("_c")).alias("key"), F.explode("_on").alias("_p"), is_structural(view, F.col("_level")).alias("_s"))
+    kept = tested.groupBy(document, "key", "_p").agg(F.min("_s").alias("_s")).where("NOT _s")
+    counts = kept.groupBy(document, "key").agg(F.count("*").alias("n_pages"))
     least = F.greatest(F.lit(2), F.floor(F.col("_pages") * min_ratio))
     return counts.join(every, document).where((F.col("_pages") >= 3) & (F.col("n_pages") >= least)).select(document, "key", "n_pages")
 
@@ -49,34 +67,48 @@ def page_metrics(pages: DataFrame, document: str, text: str, method: str) -> Dat
     )
 
 
-def bulleted(lines: Column) -> Column:
-    """Array of lines; items that follow a line announcing a list get their bullet back. The state never resets."""
-    opens = lambda x: x.endswith(":") | F.lower(x).contains("các tiêu chí sau") | F.lower(x).contains("hồ sơ gồm")
-    first = F.array_position(F.transform(lines, lambda x: opens(x)), True)
-    return F.transform(lines, lambda x, i: F.when((first > 0) & (i >= first) & ~opens(x) & starts(x, P.BULLETED) & ~is_item(x), F.concat(F.lit("- "), x)).otherwise(x))
+def opens_list(c: Column) -> Column:
+    return c.endswith(":") | F.lower(c).contains("các tiêu chí sau") | F.lower(c).contains("hồ sơ gồm")
+
+
+def bulleted(lines: DataFrame, keys: list[str], number: str = "line_no", line: str = "line") -> DataFrame:
+    """``keys, line_no, line``, cleaned and without blank lines; items below a line that announces a list have
+    their bullet back. The state never resets within a text."""
+    rows = lines.select(*keys, number, clean_line(F.col(line)).alias(line)).where(F.col(line) != "").withColumn("_opens", opens_list(F.col(line)))
+    before = _window(*keys, order=number).rowsBetween(-(2**31), -1)
+    inside = F.coalesce(F.max("_opens").over(before), F.lit(False))
+    new = F.when(inside & ~F.col("_opens") & starts(F.col(line), P.BULLETED) & ~is_item(F.col(line)), F.concat(F.lit("- "), F.col(line))).otherwise(F.col(line))
+    return rows.select(*keys, number, new.alias(line))
 
 
-def merged(text: Column, eager: bool = False) -> Column:
-    """The text with broken lines joined; a fold over its lines, as what stands before decides."""
-    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\r\n|\n|\r"), clean_line), lambda x: x != "")
-    # Whether a line may be joined is known per line; only the test of what stands before is part of the fold.
-    tagged = F.transform(bulleted(lines), lambda x: F.struct(x.alias("line"), (is_structural(x) | is_item(x)).alias("apart")))
+def merged(df: DataFrame, key: str, text: str, eager: bool = False) -> DataFrame:
+    """``key, text``: texts with broken lines joined; null and empty texts give "".
+
+    What depends on a line alone is computed on the exploded lines. The fold over a text's lines, which come
+    together by key, tests only what stands before: it may be several lines already. ``key`` is unique.
+    """
+    rows = bulleted(lines_of(df, [key], text), [key])
+    table, view = analysed(rows)
+    parts = table.select(key, F.struct("line_no", "line", (is_structural(view, F.col("_level")) | is_item(view.c)).alias("apart"), P.goes_on(view.c).alias("goes")).alias("x"))
     kind = T.ArrayType(T.StringType())
 
     def step(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = (F.size(done) > 0) & joins(F.coalesce(F.get(done, F.size(done) - 1), F.lit("")), x["line"], x["apart"], eager)
-        return F.when(joined, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.rtrim(last), F.lit(" "), F.ltrim(x["line"]))))).otherwise(F.concat(done, F.array(x["line"])))
+        last = F.get(done, F.size(done) - 1)
+        joined = ~x["apart"] & (F.size(done) > 0) & F.coalesce(P.joins_after(last, x["line"], x["goes"], eager), F.lit(False))
+        return F.when(joined, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.concat(F.rtrim(last), F.lit(" "), F.ltrim(x["line"]))))).otherwise(F.concat(done, F.array(x["line"])))
 
-    out = F.array_join(F.aggregate(tagged, F.array().cast(kind), step), "\n")
-    out = F.regexp_replace(out, r"(?iU)(các tiêu chí sau đây)\s+-\s+", "$1:\n- ")
+    folded = parts.groupBy(key).agg(F.array_sort(F.collect_list("x")).alias("_x")).select(key, F.array_join(F.aggregate("_x", F.array().cast(kind), step), "\n").alias("_t"))
+    out = F.regexp_replace("_t", r"(?iU)(các tiêu chí sau đây)\s+-\s+", "$1:\n- ")
     out = F.replace(out, F.lit("Trân trọng cảm ơn./ Nơi nhận:"), F.lit("Trân trọng cảm ơn./.\nNơi nhận:"))
-    return clean_text(out)
+    return df.select(key).join(folded.select(key, clean_text(out).alias("text")), key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
 
 
-def markdown(text: Column, eager: bool = False) -> Column:
-    """The text as light Markdown: lines joined, headings marked, paragraphs apart."""
-    return F.array_join(F.filter(F.transform(F.split(merged(text, eager), "\n"), lambda x: markdown_line(clean_line(x))), lambda x: x != ""), "\n\n")
+def markdown(df: DataFrame, key: str, text: str, eager: bool = False) -> DataFrame:
+    """``key, text``: the texts as light Markdown: lines joined, headings marked, paragraphs apart."""
+    rows, view = analysed(lines_of(merged(df, key, text, eager), [key], "text"))
+    rows = rows.where("_c <> ''").select(key, F.struct("line_no", P.markdown_line(view, F.col("_level")).alias("line")).alias("x"))
+    out = rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n\n").alias("text"))
+    return df.select(key).join(out, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
 
 
 # --- layout signals and routing -----------------------------------------------------------------------------
@@ -97,9 +129,15 @@ def _reason(found: Column, name: str, most: int, when: Column) -> Column:
     return F.when(when, F.concat(F.lit(name), F.array_join(F.slice(found, 1, most), ",")))
 
 
-def keyword_scores(text: Column) -> Column:
-    """STRUCT keyword_score, form_score, reasons of a page's text."""
-    key = layout_key(text)
+def with_keyword_scores(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``keyword_score``, ``form_score`` and ``reasons`` of a page's text; null counts as ""."""
+    names = [c for c in df.columns if c not in ("keyword_score", "form_score", "reasons")]
+    keyed = df.select(*names, layout_key(F.col(text)).alias("_key"))
+    return keyed.withColumn("_s", keyword_scores(F.col(text), F.col("_key"))).select(*names, "_s.*")
+
+
+def keyword_scores(text: Column, key: Column) -> Column:
+    """STRUCT keyword_score, form_score, reasons of a page's text; ``key`` is its layout_key, as a column."""
     strong, heads, forms, fields = (_found(key, x) for x in (TABLE_PHRASES, TABLE_HEADERS, FORM_PHRASES, FORM_FIELDS))
     flow = F.contains(key, F.lit(FLOW_LABELS[0])) & F.contains(key, F.lit(FLOW_LABELS[1]))
     dots = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\.{6,}"))
@@ -197,7 +235,7 @@ def route_override(detected: DataFrame, manual: str | None, document: str, page:
 
 # --- Markdown documents -------------------------------------------------------------------------------------
 
-PAGE = r"(?m)(?=^## Trang +\d+[ \t\r]*$)"
+PAGE = r"(?md)(?=^## Trang +\d+[ \t\r]*$)"
 
 
 def page_blocks(df: DataFrame, document: str, text: str) -> DataFrame:
@@ -206,7 +244,7 @@ def page_blocks(df: DataFrame, document: str, text: str) -> DataFrame:
     What stands before the first heading belongs to no page. Rules at the end of a block are cut.
     """
     parts = df.select(document, F.posexplode(F.split(F.col(text), PAGE)).alias("_pos", "_part"))
-    parts = parts.withColumn("page_no", F.regexp_extract("_part", r"^## Trang +(\d+)", 1).try_cast("int")).where(F.col("page_no").isNotNull())
+    parts = parts.withColumn("page_no", F.regexp_extract("_part", r"^## Trang +(\d+)[ \t\r]*(?:\n|$)", 1).try_cast("int")).where(F.col("page_no").isNotNull())
     return parts.groupBy(document, "page_no").agg(F.max_by("_part", "_pos").alias("_part")).select(document, "page_no", trim_rules(F.col("_part")).alias("block"))
 
 
@@ -239,11 +277,10 @@ def document_header(source: Column, fields: dict[str, Column]) -> Column:
     return F.concat(head, F.array_join(items, "\n"), F.lit("\n\n## Extracted Text\n"))
 
 
-def blocks_of_pages(pages: DataFrame, keys: list[str], page: str, text: str, method: str, min_chars: int = 30) -> DataFrame:
-    """``keys, page, block``: each page's Markdown under its heading and comments, as a text layer or a scan."""
-    body = clean_text(F.col(text))
-    route = F.when(F.length(body) >= min_chars, "pymupdf_text").otherwise("ocr_pdf_scan")
-    head = F.concat(F.lit("## Trang "), F.col(page), F.lit("\n\n<!-- page: "), F.col(page), F.lit(" -->\n\n<!-- extraction: "), F.coalesce(F.col(method), route), F.lit(" -->\n\n"))
-    return pages.select(*keys, page, F.concat(head, markdown(F.col(text)), F.lit("\n\n---")).alias("block"))
-
-
+def blocks_of_pages(df: DataFrame, key: str, page: str, text: str, method: str, min_chars: int = 30) -> DataFrame:
+    """``key, block``: each page's Markdown under its heading and comments, as a text layer or a scan."""
+    long = F.length(clean_text(F.col(text))) >= min_chars
+    route = F.coalesce(F.col(method), F.when(long, "pymupdf_text").otherwise("ocr_pdf_scan"))
+    head = F.concat(F.lit("## Trang "), F.col(page), F.lit("\n\n<!-- page: "), F.col(page), F.lit(" -->\n\n<!-- extraction: "), route, F.lit(" -->\n\n"))
+    body = markdown(df, key, text)
+    return df.select(key, head.alias("_head")).join(body, key).select(key, F.concat("_head", "text", F.lit("\n\n---")).alias("block"))

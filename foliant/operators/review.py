@@ -15,6 +15,8 @@ def line_warnings(lines: DataFrame, document: str, number: str = "line_no", line
     but no address, or with one of ``terms`` next to words without their marks."""
     said = clean_line(F.col(line))
     rows = lines.select(document, F.col(number).alias("line_no"), said.alias("_l")).where("_l <> ''")
+    if terms:
+        rows = rows.withColumn("_k", match_key(F.col("_l")))
 
     def warning(rule: str, when: Column, text: Column | str) -> Column:
         head = F.concat(F.lit("Dòng "), F.col("line_no"), F.lit(": "), text if isinstance(text, Column) else F.lit(text))
@@ -26,16 +28,15 @@ def line_warnings(lines: DataFrame, document: str, number: str = "line_no", line
         warning("email_without_at", F.col("_l").rlike("(?i)Email") & ~F.contains("_l", F.lit("@")), "dòng Email chưa có @, cần kiểm tra: "),
     ]
     if terms:
-        near = related_terms(F.col("_l"), terms)
+        near = related_terms(F.col("_k"), terms)
         unmarked = F.contains("_l", F.lit("?")) | F.col("_l").rlike(r"(?U)\b[Dd]ai hoc|[Ss]inh vien\b")
         text = F.concat(F.lit("nên kiểm tra thuật ngữ gần "), F.array_join(F.slice(near, 1, 3), ", "), F.lit(" -> "))
         found.append(warning("term_unmarked", (F.size(near) > 0) & unmarked, text))
     return rows.select(document, "line_no", F.explode(F.array_compact(F.array(*found))).alias("_w")).select(document, "line_no", "_w.rule", "_w.message")
 
 
-def related_terms(line: Column, terms: Sequence[str]) -> Column:
-    """The terms whose key is part of the line's key, in their order. Terms are a short list, part of the plan."""
-    key = match_key(line)
+def related_terms(key: Column, terms: Sequence[str]) -> Column:
+    """The terms whose key is part of a line's key, in their order. Terms are a short list, part of the plan."""
     pairs = F.array(*(F.struct(F.lit(t).alias("term"), match_key(F.lit(t)).alias("key")) for t in terms))
     return F.transform(F.filter(pairs, lambda x: (x["key"] != "") & F.contains(key, x["key"])), lambda x: x["term"])
 

@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from foliant.plans import documents, layout, texts
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**texts.QUERIES, **layout.QUERIES, **documents.QUERIES}
+SQL: dict[str, str] = {**texts.SQL, **layout.SQL, **documents.SQL}
