@@ -40,8 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Inputs below this size are read as they are.
+SMALL = 256 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows on all cores, if the files give fewer splits than there are cores.
+
+    Large inputs have splits enough and are left alone; filters and pruned columns still reach the scan.
+    """
+    plan = df._jdf.queryExecution()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plan.optimizedPlan().stats().sizeInBytes() < SMALL or plan.toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
