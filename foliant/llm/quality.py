@@ -136,7 +136,8 @@ def _symbol(line: str, doubtful: bool) -> str:
 
 def _repeated(words: list[str]) -> bool:
     """Is the page one phrase over and over?"""
-    said = [w.lower().strip(".,;:!?") for w in words if WORDS[w] is not None]
+    # Numbers count, too: the rows of a table may say the same, but not with the same numbers.
+    said = [w.lower().strip(".,;:!?") for w in words if WORDS[w] is not None or any(map(str.isdigit, w))]
     if len(said) < 16:
         return False
     triples = list(zip(said, said[1:], said[2:]))
