@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.functions.text import html_text, safe_stem
 
@@ -43,16 +44,17 @@ def extract_pages(files: DataFrame, read: Callable[[str, bytes], Iterable[dict]]
     gives one row with a null page, so that it can be found.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(PAGES)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     rows = [{"path": path, **r} for r in read(path, content)]
                 except Exception:  # a broken file must not end the job
                     rows = [{"path": path}]
-                yield pd.DataFrame(rows, columns=PAGES.fieldNames()).astype({"page_no": "Int32", "n_vector_lines": "Int32"})
+                yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in kinds.names} for r in rows], schema=kinds)
 
-    return files.select("path", "content").mapInPandas(run, PAGES)
+    return files.select("path", "content").mapInArrow(run, PAGES)
 
 
 def text_files(spark: SparkSession, path: str) -> DataFrame:
