@@ -411,19 +411,19 @@ class Reader:
         return {"hyphen": bool(self.cut_words(marked)), "n_misread": count, "n_forms": len(misread), "n_strange": strangers, "edges": edges, "numbers": numbers}
 
 
-_READERS: dict[int, Reader] = {}
+#: The worker's last reader, with the model it was made of: models are told apart by identity, so the model is kept.
+_LAST: list[tuple] = []
 
 
 def _reader(bound) -> Reader:
     """One reader per worker and broadcast model."""
-    key = id(bound.value)
-    if key not in _READERS:
-        _READERS.clear()
-        words, weights, labels = bound.value
+    model = bound.value
+    if not _LAST or _LAST[0][0] is not model:
+        words, weights, labels = model
         editor = Editor()
         editor.weights, editor.labels = weights, labels
-        _READERS[key] = Reader(words, editor)
-    return _READERS[key]
+        _LAST[:] = [(model, Reader(words, editor))]
+    return _LAST[0][1]
 
 
 SEEN = T.StructType(
