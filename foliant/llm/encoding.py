@@ -173,7 +173,7 @@ def strange(text: str) -> bool:
     return bool(_SUSPECT.search(text) or _MISPLACED.search(text) or "?" in text)
 
 
-QUOTED = re.compile(r"([“\"«‘'(\[])([^“”\"«»‘’'()\[\]\s]{1,8})([”\"»’')\]])")
+QUOTED = re.compile(r"([“\"«‘'])([^“”\"«»‘’'\s]{1,8})([”\"»’'])")
 EDGE = re.compile("[¬­‐-]+[ \\t]*$|^[ \\t]*[-·•*]")
 
 

@@ -19,7 +19,7 @@ VOWELS = "aăâeêioôơuưy"
 TONES = ["", "̀", "́", "̉", "̃", "̣"]
 VIETNAMESE = [unicodedata.normalize("NFC", v + t) for v in VOWELS for t in TONES] + list("bcdđghklmnpqrstvx")
 OTHERS = list("fjwzçœëïüûî")
-MARKS = list(".,;:!?()[]/-–—…’‘“”'\"|_%&@+*#<>=•\t\n °$")
+MARKS = list(".,;:!?()[]/-–—…’‘“”'\"|_%&@+*#<>=•€\t\n °$")
 
 
 def _classes() -> tuple[np.ndarray, int]:
