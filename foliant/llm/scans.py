@@ -4,9 +4,10 @@
   for every character: keep it, replace it, delete it, put letters in, or, at a mark at a line end, join the lines.
   It is trained here, on the corpus' frequent words spoilt the way scanners spoil them. An edit counts if it gives
   a word of the vocabulary.
-* Running lines and page numbers are found by where they stand: a line among the first or last two of its page
-  whose wording, numbers aside, stands there on three or more pages of the version; a number there that keeps its
-  distance to the page's number through the version, or says it is a page's.
+* Running lines and page numbers are found by where they stand: a line at the edge of its page (one of the two
+  outermost, or with nothing but such lines outside it) whose wording, numbers aside, stands there on three or more
+  pages of the version; a number there that keeps its distance to the page's number through the version, or says it
+  is a page's.
 
 The vocabulary is the ``WORDS`` most frequent words of all texts (a bound, not a sample: counts cover all pages);
 the editor's size is bounded by it. Words are edited once per worker. Between tasks only keys and numbers move.
@@ -236,6 +237,7 @@ def _model(df: DataFrame, text: str) -> tuple[dict[str, int], Editor]:
 
 HEADING = re.compile(r"^\W*(điều|chương|mục|phần|khoản|section|article|chapter|part|phụ lục|annexe|appendix)\b\W*[\divxlc#]+\b", re.I)
 BODY = re.compile(r"^\s*(?:[-+*•·–]\s|\(?\d{1,3}[.)]\s|\(?[a-zđ]\)\s)|^\s*\|.*\||\t|\S {3,}\S.* {3,}\S|[_.…]{4,}\s*$|^\W*$|^[^:]{2,40}:\s*[_.…]*$|^\s*(?:stt|tt|no\.?|n°)\b|^[^;]*;[^;]*;[^;]*$", re.I)
+BARE = re.compile(r"\W*$")
 NUMBER = re.compile(
     r"^\W{0,3}(?P<word>trang|page|tr|p|pg|trg|số trang|tờ)?[.:\s]*\W{0,2}(?P<n>[\dlIoO!]{1,4}|[ivxlc]{1,9})\s*(?P<of>(?:/|of|sur|trên|trong|de)\s*(?P<m>[\dlIoO!]{1,4}))?\W{0,3}$", re.I
 )
@@ -374,6 +376,37 @@ class Reader:
                 out.append((m.start() - len(before[0]), after.end(), before[0] + after[0]))
         return out
 
+    def edge(self, raw: list[str], order: list[int]) -> Iterator[tuple[int, dict, tuple[str, int] | None, str | None]]:
+        """Lines that may be running lines or page numbers, from the outside inward up to the first that can't be.
+
+        Each has its place: whether it is of the first two, and how many lines with wording stand outside and inside.
+        Signs alone (rules) are passed over.
+        """
+        outside, outer, open_ = 0, None, True
+        worded = None
+        for depth, n in enumerate(order):
+            if depth >= 2 and not open_:
+                return
+            line = readable(raw[n].strip())
+            if BARE.match(line):
+                continue
+            number = page_number(line) if len(line) < 30 else None
+            key = None
+            if not number and 5 <= len(line) <= 120 and line[-1] not in ".;,!?" and not HEADING.search(line) and not BODY.search(line) and len(made := shape(line)) >= 5:
+                key = made
+            # Further in, a second number is the page's only if it is the same.
+            if depth >= 2 and (not (number or key) or number and outer not in (None, number[1])):
+                return
+            if number or key:
+                if worded is None:
+                    worded = sum(not BARE.match(raw[k].strip()) for k in order)
+                yield n, {"near": depth < 2, "outside": outside, "inside": worded - outside - 1}, number, key
+            else:
+                open_ = False
+            if number and outer is None:
+                outer = number[1]
+            outside += 1
+
     def page(self, text: str) -> dict:
         raw = text.split("\n")
         strange = encoding._SUSPECT.search(text) or encoding._MISPLACED.search(text)
@@ -400,14 +433,12 @@ class Reader:
         marked = "\n".join(x if "­" in x or "¬" in x else readable(x) for x in raw) if strange else text
         edges, numbers = [], []
         filled = [n for n, x in enumerate(raw) if x and not x.isspace()]
-        spots = {**{n: f"t{i}" for i, n in enumerate(filled[:2])}, **{n: f"b{i}" for i, n in enumerate(reversed(filled[1:][-2:]))}}
-        for n, spot in spots.items():
-            said = readable(raw[n].strip())
-            number = page_number(said) if len(said) < 30 else None
-            if number:
-                numbers.append({"line": n, "spot": spot, "style": number[0], "n": number[1]})
-            elif 5 <= len(said) <= 120 and said[-1] not in ".;,!?" and not HEADING.search(said) and not BODY.search(said) and len(key := shape(said)) >= 5:
-                edges.append({"line": n, "key": key})
+        for side, order in (("t", filled), ("b", filled[:0:-1])):
+            for n, place, number, key in self.edge(raw, order):
+                if number:
+                    numbers.append({"line": n, "side": side, **place, "style": number[0], "n": number[1]})
+                else:
+                    edges.append({"line": n, "side": side, **place, "key": key})
         return {"hyphen": bool(self.cut_words(marked)), "n_misread": count, "n_forms": len(misread), "n_strange": strangers, "edges": edges, "numbers": numbers}
 
 
@@ -426,14 +457,15 @@ def _reader(bound) -> Reader:
     return _LAST[0][1]
 
 
+PLACE = [T.StructField("line", T.IntegerType()), T.StructField("side", T.StringType()), T.StructField("near", T.BooleanType()), T.StructField("outside", T.IntegerType()), T.StructField("inside", T.IntegerType())]
 SEEN = T.StructType(
     [
         T.StructField("hyphen", T.BooleanType()),
         T.StructField("n_misread", T.IntegerType()),
         T.StructField("n_forms", T.IntegerType()),
         T.StructField("n_strange", T.IntegerType()),
-        T.StructField("edges", T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("key", T.StringType())]))),
-        T.StructField("numbers", T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("spot", T.StringType()), T.StructField("style", T.StringType()), T.StructField("n", T.IntegerType())]))),
+        T.StructField("edges", T.ArrayType(T.StructType([*PLACE, T.StructField("key", T.StringType())]))),
+        T.StructField("numbers", T.ArrayType(T.StructType([*PLACE, T.StructField("style", T.StringType()), T.StructField("n", T.IntegerType())]))),
     ]
 )
 
@@ -445,7 +477,8 @@ def examined(df: DataFrame, bound, key: str, text: str, version: str, page: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(bound)
-        kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([("line", pa.int32()), ("key", pa.string())])), pa.list_(pa.struct([("line", pa.int32()), ("spot", pa.string()), ("style", pa.string()), ("n", pa.int32())]))]
+        place = [("line", pa.int32()), ("side", pa.string()), ("near", pa.bool_()), ("outside", pa.int32()), ("inside", pa.int32())]
+        kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([*place, ("key", pa.string())])), pa.list_(pa.struct([*place, ("style", pa.string()), ("n", pa.int32())]))]
         for batch in batches:
             found = [reader.page(x) for x in batch.column(3).to_pylist()]
             columns = [pa.array([f[n] for f in found], k) for n, k in zip(SEEN.fieldNames(), kinds, strict=True)]
@@ -454,17 +487,36 @@ def examined(df: DataFrame, bound, key: str, text: str, version: str, page: str)
     return rows.mapInArrow(run, schema)
 
 
-def _furniture(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``id, line`` of the running lines, and of the page numbers."""
-    edges = seen.where("version IS NOT NULL AND page IS NOT NULL").select("id", "version", "page", F.explode("edges").alias("e")).select("id", "version", "page", "e.line", "e.key")
+def _running(edges: DataFrame) -> DataFrame:
+    """``version, key`` of the wordings on three or more pages of a version."""
     # Distinct pages first, so that a version with very many rows is counted in parts.
-    running = edges.select("version", "key", "page").distinct().groupBy("version", "key").agg(F.count("*").alias("n")).where("n >= 3").select("version", "key")
-    headers = edges.join(running, ["version", "key"], "left_semi").select("id", "line")
+    edges = edges.where("version IS NOT NULL AND page IS NOT NULL")
+    return edges.select("version", "key", "page").distinct().groupBy("version", "key").agg(F.count("*").alias("n")).where("n >= 3").select("version", "key")
+
 
-    numbers = seen.select("id", "version", "page", F.explode("numbers").alias("e")).select("id", "version", "page", "e.*").withColumn("ahead", F.col("n") - F.col("page"))
+def _own(numbers: DataFrame) -> DataFrame:
+    """The numbers that are their page's."""
+    numbers = numbers.withColumn("ahead", F.col("n") - F.col("page"))
     steady = numbers.where("version IS NOT NULL AND page IS NOT NULL").select("version", "ahead", "page").distinct().groupBy("version", "ahead").agg(F.count("*").alias("pages"))
     own = (F.col("style") == "word") | (F.col("ahead") == 0) | (F.coalesce("pages", F.lit(0)) >= 2) | F.col("style").isin("framed", "roman", "of")
-    return headers, numbers.join(steady, ["version", "ahead"], "left").where(own).select("id", "line")
+    return numbers.join(steady, ["version", "ahead"], "left").where(own).drop("ahead", "pages")
+
+
+def _furniture(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``id, line`` of the running lines, and of the page numbers.
+
+    A line stands at the edge if it is one of the two outermost, or if all lines outside it recur or are numbers.
+    """
+    placed = ["id", "version", "page", "line", "side", "near", "outside", "inside", "key", "style", "n"]
+    edges = seen.select("id", "version", "page", F.explode("edges").alias("e")).select("id", "version", "page", "e.*")
+    numbers = seen.select("id", "version", "page", F.explode("numbers").alias("e")).select("id", "version", "page", "e.*")
+    found = edges.join(_running(edges), ["version", "key"], "left_semi").unionByName(_own(numbers), allowMissingColumns=True)
+    # A row per line that may be furniture; a page's are few. Where they leave no line inside, they are a body that recurs.
+    outer = "collect_set(outside) OVER (PARTITION BY id, side ORDER BY outside RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    found = found.withColumn("open", F.expr(f"size({outer}) = outside")).withColumn("left", F.expr("min(if(open, inside, null)) OVER (PARTITION BY id, side)"))
+    found = materialise(found.where("near OR open AND left > 0").select(placed), "edges")
+    edges, numbers = found.where("key IS NOT NULL"), found.where("n IS NOT NULL")
+    return edges.join(_running(edges), ["version", "key"], "left_semi").select("id", "line"), _own(numbers).select("id", "line")
 
 
 def prepared(df: DataFrame, key: str, text: str, version: str, page: str):

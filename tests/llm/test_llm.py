@@ -152,6 +152,23 @@ def test_noise(spark):
     assert scans.noise(df.limit(0)).count() == 0
 
 
+def test_furniture_under_two_running_lines(spark):
+    rng = random.Random(8)
+    body = lambda: "\n".join(rng.sample([SENTENCE, *OTHERS], 5))
+    texts = [f"ĐẠI HỌC LAM GIANG\nQUY TRÌNH XÉT TỐT NGHIỆP\n- {i + 1} -\nBan hành lần thứ hai\n{body()}" for i in range(6)]
+    texts += [f"{body()}\n{i + 1}\nPhòng Đào tạo\nĐại học Lam Giang" for i in range(6, 12)]
+    # Cells are no page numbers, and a body that recurs is no running line.
+    texts += [f"ĐẠI HỌC LAM GIANG\nQUY TRÌNH XÉT TỐT NGHIỆP\n{i + 1}\n{i + 2}\n{body()}" for i in range(12, 15)]
+    form = "ĐẠI HỌC LAM GIANG\nQUY TRÌNH XÉT TỐT NGHIỆP\nHọ và tên người học\nNgành đang theo học\nLý do xin nghỉ học\nTài khoản ngân hàng\nChữ ký người học"
+    texts += [form] * 3
+    df = pages(spark, texts, version="v")
+    got = {(r.page_id, r.noise) for r in scans.noise(df).collect()}
+    assert {i for i, k in got if k == "pageno"} == set(range(15)) and {i for i, k in got if k == "header"} == set(range(18))
+    clean = {r.page_id: r.text for r in scans.clean_pages(df).collect()}
+    assert not any(x in clean[i] for i in range(12) for x in ("LAM GIANG", "Lam Giang", "TỐT NGHIỆP", "Phòng Đào tạo\n", f"{i + 1} -", "lần thứ hai"))
+    assert clean[12].startswith("14") and "Lý do xin nghỉ học" in clean[16]
+
+
 def test_editor_on_held_out_words():
     words = {w: 100 for s in [SENTENCE, *OTHERS] for w in re.findall(r"[^\W\d_]+", s.lower())} | {w: 50 for w in "quyết định thông báo quản lý sinh viên trường học giảng dạy nghiên cứu khoa học công tác phục vụ thực hiện".split()}
     editor = scans.trained(words)
