@@ -1,18 +1,18 @@
 """Texts that stop before their end (problem 8).
 
-Per source the lengths of all texts are counted, in characters and in UTF-8 bytes, after what was put behind a
+Per source the lengths of all different texts are counted, in characters and in UTF-8 bytes, after what was put behind a
 cut (dots, "read more" and the like) is taken off. A field limit shows as a spike at the upper end of a
 histogram: far more texts at one length than the neighbouring lengths lead to expect, and hardly any beyond.
 Texts at a spike without terminal punctuation are cut. Bytes get a tolerance of one character, which a cut may
 have split.
 
 Transfers that break off leave no spike. So the end of every text is judged as well: a last line of running text
-without terminal punctuation is cut, a closing line (one that ends many documents: signature, address, date), a
+without terminal punctuation is cut, a closing line (one that ends many different texts: signature, address, date), a
 finished item, a table row, a form field or a bare title isn't. An item is unfinished if the corpus has no such
 item but has one that goes on from there.
 
-All counts run over all documents and are aggregated before they are shuffled; the histogram has at most
-sources x lengths rows, its spikes a few per source.
+All counts run over all documents, copies of a text as one, and are aggregated before they are shuffled; the
+histogram has at most sources x lengths rows, its spikes a few per source.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ TERMINAL = r"[.!?。:;][\"'”’»)\]*_]*$|[.!?]\s*\([^()]*\)$|v\.v\W*$|[”»\
 #: A spike holds at least this many texts and this share of the source's, exceeds the mean count of the lengths
 #: in the tenth below it so many times, and at most this share of the source's texts is longer than its band.
 SPIKE_LEAST, SPIKE_SHARE, SPIKE_TIMES, BEYOND = 4, 0.02, 40.0, 0.1
-#: A closing line ends at least so many documents, and so large a share of all.
+#: A closing line ends at least so many different texts, and so large a share of all.
 CLOSING_LEAST, CLOSING_SHARE = 3, 0.0003
 
 
@@ -93,12 +93,15 @@ def profile(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
         F.col("last").rlike(FIELD).alias("is_field"),
         F.col("last").rlike(r"[.!?;,]\s").alias("has_sentence"),
         _key(F.col("last")).alias("last_key"),
+        F.md5(F.col("core").cast("binary")).alias("digest"),
         F.when(F.col("last").rlike(ITEM), _item(F.col("last"))).alias("item"),
     )
 
 
 def spikes(ends: DataFrame) -> DataFrame:
     """``source``, ``unit`` (chars or octets), ``limit``, ``n``: the field limits that show in the lengths."""
+    # Each text of a source counts once: the length of a text that is stored often is no limit.
+    ends = ends.select("source", "digest", "chars", "octets", "terminal").distinct()
     counts = (
         ends.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("size")), F.struct(F.lit("octets").alias("unit"), F.col("octets").alias("size")))).alias("x"), "terminal")
         .select("source", "x.unit", "x.size", "terminal")
@@ -137,11 +140,13 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
         F.collect_set(F.when(F.col("unit") == "chars", F.col("limit"))).alias("char_limits"),
         F.collect_set(F.when(F.col("unit") == "octets", F.col("limit"))).alias("octet_limits"),
     )
+    # Each text counts once: copies of a cut one don't make its last line a closing line.
+    texts = ends.select("last_key", "digest").distinct()
     closings = (
-        ends.where(F.length("last_key") <= 80)
+        texts.where(F.length("last_key") <= 80)
         .groupBy("last_key")
         .agg(F.count("*").alias("n_last"))
-        .join(ends.agg(F.count("*").alias("n_all")))
+        .join(texts.agg(F.count("*").alias("n_all")))
         .where((F.col("n_last") >= F.greatest(F.lit(CLOSING_LEAST), CLOSING_SHARE * F.col("n_all"))) & ~F.col("last_key").rlike(r",$"))
         .select("last_key", F.lit(True).alias("closing"))
     )
@@ -164,7 +169,7 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     at_limit = F.array_contains(F.coalesce("char_limits", none), F.col("chars")) | F.exists(F.coalesce("octet_limits", none), lambda x: F.col("octets").between(x - 3, x + 2))
     closing = F.coalesce("closing", F.lit(False))
     fixed_end = F.col("terminal") | F.col("is_field")
-    by_limit = at_limit & ~fixed_end & ~(closing & ~F.col("is_item"))
+    by_limit = at_limit & ~fixed_end
     unfinished_item = F.col("is_item") & ~F.coalesce("known", F.lit(True))
     title = (F.col("n_lines") == 1) & ~F.col("has_sentence") & (F.col("n_words") <= 16)
     prose = ~F.col("is_item") & ~F.col("is_row") & ~F.col("is_field") & ~F.col("short_lines") & ~title & ~closing

@@ -257,3 +257,21 @@ def test_truncated(spark):
     rate = {r.source: r for r in truncation.rates(judged).collect()}
     assert rate["whole"].n_truncated == 0 and rate["cut"].n_by_limit > 40 and rate[None].n_docs == 8
     assert truncation.truncated(df.limit(0)).count() == 0
+
+
+def test_copies_of_a_cut_text_make_no_closing_line(spark):
+    rng = random.Random(7)
+    body = lambda n: " ".join(rng.choice([SENTENCE, *OTHERS]) for _ in range(n))
+    cut = f"{body(4)}\n{OTHERS[2][:40]}"
+    limited = [t[:400] for t in (body(9) for _ in range(40))]
+    # Cut at one limit and at the same words: the end recurs, the length tells.
+    same = [f"{body(9)[:385]}\nLe comité exam" for _ in range(5)]
+    rows = [(i, cut, "copies") for i in range(40)] + [(40, f"{body(3)}\n{OTHERS[2][:40]}", "once")]
+    rows += [(100 + i, t, "limit") for i, t in enumerate([*limited, *same])]
+    rows += [(200 + i, f"{body(2 + i)}\nTrưởng phòng", "whole") for i in range(5)]
+    rows += [(300 + i, f"{body(3)}\nTrưởng phòng" if i % 3 else f"{SENTENCE} {OTHERS[0]}\nTrưởng phòng", "signed") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.id: r.reason for r in truncation.truncated(df).collect()}
+    assert {got[i] for i in range(41)} == {"open_end"}
+    assert {got[i] for i in range(140, 145)} == {"limit"}
+    assert {got[i] for i in [*range(200, 205), *range(300, 330)]} == {None}
