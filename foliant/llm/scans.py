@@ -200,7 +200,10 @@ def trained(words: dict[str, int]) -> Editor:
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """``word, n`` over all texts: letters only, without case, in canonical form; partial counts per task."""
+    """``word, n`` over all different texts: letters only, without case, in canonical form; partial counts per task.
+
+    Copies of a text count once, so that no misreading is common by them. They are put together in each task first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -212,7 +215,7 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
                 counts = Counter()
         yield _counted(counts)
 
-    return df.where(F.length(text) > 0).select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return df.where(F.length(text) > 0).select(text).distinct().mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _counted(tokens: Counter[str]) -> pa.RecordBatch:

@@ -169,6 +169,16 @@ def test_furniture_under_two_running_lines(spark):
     assert clean[12].startswith("14") and "Lý do xin nghỉ học" in clean[16]
 
 
+def test_copies_make_no_misreading_a_word(spark):
+    rng = random.Random(5)
+    body = lambda: "\n".join(rng.sample([SENTENCE, *OTHERS], 4))
+    bad = "\n".join([SENTENCE, *OTHERS]).replace("phòng", "pliòng").replace("hồ sơ", "liồ sơ").replace("trách", "trácli")
+    df = pages(spark, [*(f"{i}) {body()}" for i in range(60)), *[bad] * 30])
+    noise = scans.noise(df).where("noise = 'chars'").collect()
+    assert {r.page_id for r in noise} == set(range(60, 90))
+    assert "liồ" not in {r.page_id: r.text for r in scans.clean_pages(df).collect()}[60]
+
+
 def test_editor_on_held_out_words():
     words = {w: 100 for s in [SENTENCE, *OTHERS] for w in re.findall(r"[^\W\d_]+", s.lower())} | {w: 50 for w in "quyết định thông báo quản lý sinh viên trường học giảng dạy nghiên cứu khoa học công tác phục vụ thực hiện".split()}
     editor = scans.trained(words)
