@@ -32,6 +32,9 @@ from foliant.session import materialise
 
 # What scanners read for the letters before the colon.
 MISREADS = "h:li n:ri m:rn u:ii g:q g:9 i:l i:! i:1 l:1 l:I o:0 e:c s:5 b:8 d:cl n:^ a:@ t:f t:+ b:6 ậ:$ ọ:9 á:ci à:ä é:ê) z:2 y:v r:i w:vv"
+# Several letters that are read as one, and letters thin enough to be missed.
+MERGED = "rn:m li:h ri:n cl:d ii:u vv:w ci:a nn:m"
+DROPPED = "ilt"
 #: Most words of the vocabulary; fewest times a word must occur, and as a share of all words.
 WORDS, WORD_LEAST, WORD_SHARE = 20_000, 3, 5e-6
 #: A word is a misreading itself if its correction is so many times as frequent; accents alone need more.
@@ -76,11 +79,12 @@ CONFUSIONS = _confusions()
 
 
 class Editor:
-    """An averaged perceptron over characters; its labels are what is written for a character ("" deletes it)."""
+    """An averaged perceptron over characters; its labels are what is written for a character: "" deletes it, several put letters in."""
 
     def __init__(self) -> None:
         self.weights: dict[tuple, float] = {}
         self.labels: dict[str, list[str]] = {}
+        self.longer: Editor | None = None
 
     @staticmethod
     def features(word: str, i: int) -> list[tuple]:
@@ -147,6 +151,21 @@ def _spoil(word: str, rng: random.Random, rate: float) -> list[tuple[str, str]]:
     return out
 
 
+JOINED = dict(pair.split(":") for pair in MERGED.split())
+
+
+def _short(word: str) -> Iterator[list[tuple[str, str]]]:
+    """The word with two letters read as one, or a thin one missed inside it, at each place where they can be."""
+    for i in range(len(word) - 1):
+        two = word[i : i + 2]
+        seen = [JOINED[two]] if two in JOINED else []
+        if i and two[0] in DROPPED and len(word) > 4:
+            # A missed letter is put before the next.
+            seen.append(two[1])
+        for s in seen:
+            yield [*((c, c) for c in word[:i]), (s, two), *((c, c) for c in word[i + 2 :])]
+
+
 def _cuts(word: str, rng: random.Random) -> list[tuple[str, str]]:
     """A word cut at a line end: the mark and the end are deleted, which joins the lines."""
     k = rng.randrange(1, len(word))
@@ -196,6 +215,9 @@ def trained(words: dict[str, int]) -> Editor:
             pairs.append([*((c, c) for c in w), ("-", "-"), ("\n", ""), *((c, c) for c in other)])
     editor = Editor()
     editor.train(pairs, EPOCHS)
+    # Letters are put in by an editor of its own: both kinds of misreading in one would blur each other.
+    editor.longer = Editor()
+    editor.longer.train([x for w in common for x in ([(c, c) for c in w], *_short(w))], EPOCHS)
     return editor
 
 
@@ -353,11 +375,19 @@ class Reader:
             # Compounds are judged part by part.
             if "-" in said and all(p in self.words or not LETTER.search(p) for p in said.split("-")):
                 return None
-            fixed = self.editor.edit(said)
-            if fixed != said and fixed in self.words and (len(fixed) > 2 or not fixed.isascii()):
-                return fixed
+            for right in self.readings(said):
+                if right != said and right in self.words and (len(right) > 2 or not right.isascii()):
+                    return right
         return None
 
+    def readings(self, said: str) -> Iterator[str]:
+        """The word edited, with letters put in, and both; each is made only if those before it are no word."""
+        yield (fixed := self.editor.edit(said))
+        if self.editor.longer:
+            yield self.editor.longer.edit(said)
+            if fixed != said:
+                yield self.editor.longer.edit(fixed)
+
     def cut_words(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, whole word) of each word cut at a line end; marks that belong to a compound are none."""
         out = []
@@ -453,9 +483,11 @@ def _reader(bound) -> Reader:
     """One reader per worker and broadcast model."""
     model = bound.value
     if not _LAST or _LAST[0][0] is not model:
-        words, weights, labels = model
+        words, weights, labels, more = model
         editor = Editor()
+        editor.longer = Editor()
         editor.weights, editor.labels = weights, labels
+        editor.longer.weights, editor.longer.labels = more
         _LAST[:] = [(model, Reader(words, editor))]
     return _LAST[0][1]
 
@@ -525,7 +557,7 @@ def _furniture(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 def prepared(df: DataFrame, key: str, text: str, version: str, page: str):
     """The broadcast model (its size is bounded by WORDS) and what was seen on each page."""
     words, editor = _model(df, text)
-    bound = df.sparkSession.sparkContext.broadcast((words, editor.weights, editor.labels))
+    bound = df.sparkSession.sparkContext.broadcast((words, editor.weights, editor.labels, (editor.longer.weights, editor.longer.labels)))
     return bound, materialise(examined(df, bound, key, text, version, page), "pages")
 
 

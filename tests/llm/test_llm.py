@@ -190,6 +190,15 @@ def test_editor_on_held_out_words():
     assert sum(editor.edit(w) == w for w in words) / len(words) > 0.7
 
 
+def test_editor_puts_letters_in():
+    words = {w: 100 for s in [SENTENCE, *OTHERS] for w in re.findall(r"[^\W\d_]+", s.lower())} | {w: 100 for w in "return modern internal learning clinic include client literature literal examination registration application certificate material clear class client".split()}
+    editor = scans.trained(words)
+    reader = scans.Reader(words, editor)
+    wrong = {"retum": "return", "modem": "modern", "intemal": "internal", "leaming": "learning", "dinic": "clinic", "indude": "include", "hterature": "literature", "regstration": "registration", "certficate": "certificate"}
+    assert sum(reader.misread(w) == r for w, r in wrong.items()) >= 7
+    assert not any(reader.misread(w) for w in words)
+
+
 # --- 6 ---
 
 
