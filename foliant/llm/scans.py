@@ -9,8 +9,8 @@
   pages of the version; a number there that keeps its distance to the page's number through the version, or says it
   is a page's.
 
-The vocabulary is the ``WORDS`` most frequent words of all texts (a bound, not a sample: counts cover all pages);
-the editor's size is bounded by it. Words are edited once per worker. Between tasks only keys and numbers move.
+The vocabulary is the words with a share of ``WORD_SHARE`` of all texts' words, which bounds it (counts cover all
+pages), and the editor's size with it. Words are edited once per worker. Between tasks only keys and numbers move.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ MISREADS = "h:li n:ri m:rn u:ii g:q g:9 i:l i:! i:1 l:1 l:I o:0 e:c s:5 b:8 d:cl
 # Several letters that are read as one, and letters thin enough to be missed.
 MERGED = "rn:m li:h ri:n cl:d ii:u vv:w ci:a nn:m"
 DROPPED = "ilt"
-#: Most words of the vocabulary; fewest times a word must occur, and as a share of all words.
-WORDS, WORD_LEAST, WORD_SHARE = 20_000, 3, 5e-6
+#: Fewest times a word of the vocabulary must occur, and as a share of all words.
+WORD_LEAST, WORD_SHARE = 3, 5e-6
 #: A word is a misreading itself if its correction is so many times as frequent; accents alone need more.
 TIMES, TIMES_ACCENT = 40, 200
 #: Misread words that make a page noisy.
@@ -251,10 +251,10 @@ def _counted(tokens: Counter[str]) -> pa.RecordBatch:
 
 
 def _model(df: DataFrame, text: str) -> tuple[dict[str, int], Editor]:
-    counts = word_counts(df, text)
-    found = {r.word: r.n for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()}
-    total = sum(found.values())
-    words = vocabulary({w: n for w, n in found.items() if n >= max(WORD_LEAST, WORD_SHARE * total)})
+    counts = materialise(word_counts(df, text), "words")
+    least = max(WORD_LEAST, WORD_SHARE * (counts.agg(F.sum("n")).first()[0] or 0))
+    # So large a share bounds the list: 1 / WORD_SHARE words at most.
+    words = vocabulary({r.word: r.n for r in counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").collect()})
     return words, trained(words)
 
 
@@ -555,7 +555,7 @@ def _furniture(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def prepared(df: DataFrame, key: str, text: str, version: str, page: str):
-    """The broadcast model (its size is bounded by WORDS) and what was seen on each page."""
+    """The broadcast model (its size is bounded by WORD_SHARE) and what was seen on each page."""
     words, editor = _model(df, text)
     bound = df.sparkSession.sparkContext.broadcast((words, editor.weights, editor.labels, (editor.longer.weights, editor.longer.labels)))
     return bound, materialise(examined(df, bound, key, text, version, page), "pages")

@@ -190,6 +190,12 @@ def test_editor_on_held_out_words():
     assert sum(editor.edit(w) == w for w in words) / len(words) > 0.7
 
 
+def test_vocabulary_has_every_frequent_word(spark):
+    made = ["".join(chr(97 + n // 26**k % 26) for k in range(4)) for n in range(0, 21_000 * 20, 20)]
+    words, _ = scans._model(pages(spark, [f"{i} {' '.join(made)}" for i in range(4)]), "raw_text")
+    assert set(words) == set(made)
+
+
 def test_editor_puts_letters_in():
     words = {w: 100 for s in [SENTENCE, *OTHERS] for w in re.findall(r"[^\W\d_]+", s.lower())} | {w: 100 for w in "return modern internal learning clinic include client literature literal examination registration application certificate material clear class client".split()}
     editor = scans.trained(words)
