@@ -13,6 +13,8 @@ Cells are few (sources x languages x topics); only they are collected, records a
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ from pyspark.sql import types as T
 from foliant.llm import tokens
 from foliant.session import materialise
 
-#: Most cells that are fitted on the driver; languages and topics beyond count as one ("other").
-CELLS = 200_000
+#: Most cells that are fitted on the driver; languages and topics beyond count as one (OTHER).
+CELLS, OTHER = 200_000, "other"
 ROUNDS, SEED = 200, 17
 
 
@@ -85,13 +87,29 @@ def mixture(
     goals = [(r.source, float(r.target_share), int(r.max_repeat)) for r in targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeat").alias("max_repeat")).where("source IS NOT NULL AND target_share > 0 AND max_repeat > 0").collect()]
     rows = rows.where(F.col("source").isin([g[0] for g in goals]))
     sized = materialise(tokens.token_counts(rows, "text", "n_tokens", folder).where("n_tokens > 0"), "sized")
-    cells = sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), "source", "lang", "topic").limit(CELLS).collect()
+    for name in ("topic", "lang"):
+        sized = _bounded(sized, name, len(goals))
+    cells = sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), "source", "lang", "topic").collect()
     plan = _plan(cells, goals)
     schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("topic", T.StringType()), T.StructField("weight", T.DoubleType()), T.StructField("cap", T.IntegerType())])
     weights = df.sparkSession.createDataFrame(plan, schema)
     return _drawn(sized, weights).withColumnRenamed("id", key)
 
 
+def _bounded(sized: DataFrame, name: str, sources: int) -> DataFrame:
+    """``sized`` with the values of ``name`` beyond the largest as OTHER, so that there are CELLS cells at most.
+
+    Languages and topics get an equal part each of what the sources leave. Few values are left as they are.
+    """
+    most = max(1, math.isqrt(max(1, CELLS // max(1, sources))) - 1)
+    # One more than may stay shows whether there are further ones.
+    kept = [r[name] for r in sized.groupBy(name).agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), name).limit(most + 1).collect()]
+    if len(kept) <= most:
+        return sized
+    values = F.broadcast(sized.sparkSession.createDataFrame([(v, v) for v in kept[:most]], f"{name} string, kept string"))
+    return sized.join(values, name, "left").withColumn(name, F.coalesce("kept", F.lit(OTHER))).drop("kept")
+
+
 def _plan(cells: list, goals: list[tuple[str, float, int]]) -> list[tuple]:
     if not cells:
         return []

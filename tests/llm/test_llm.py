@@ -253,6 +253,17 @@ def test_mixture(spark):
     assert mixing.mixture(df.limit(0), targets).count() == 0
 
 
+def test_mixture_keeps_rare_topics(spark, monkeypatch):
+    try:
+        tokens.encoder()
+    except OSError:
+        pytest.skip("no vocabulary")
+    monkeypatch.setattr(mixing, "CELLS", 20)
+    df = spark.createDataFrame([(i, SENTENCE, "vi", "A", f"t{i}") for i in range(300)], "doc_id long, text string, lang string, source string, document_type string")
+    targets = spark.createDataFrame([("A", 1.0, 1)], "source string, target_share double, max_repeat int")
+    assert mixing.mixture(df, targets).count() >= 299
+
+
 def test_fit_reaches_margins():
     size, source = np.array([100.0, 300.0, 50.0, 50.0]), np.array([0, 0, 1, 1])
     weight = mixing.fit(size, source, [np.array([0, 1, 0, 1])], np.array([0.5, 0.5]), np.array([1.0, 4.0]))
