@@ -153,12 +153,21 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     # Items of the corpus, each once; then those among them that a last item begins.
     lines = F.split(F.col(text), "\r?\n")
     items = (
-        df.select(F.explode(F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x.rlike(ITEM) & (F.length(x) <= 160))).alias("line"))
+        df.select(F.explode(F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x.rlike(ITEM))).alias("line"))
         .select(_item(F.col("line")).alias("whole"))
         .distinct()
     )
-    begun = items.select(F.explode(F.sequence(F.lit(1), F.length("whole"))).alias("k"), "whole").where(F.length("whole") > 0).select(F.expr("left(whole, k)").alias("item"), (F.col("k") == F.length("whole")).alias("same")).groupBy("item").agg(F.max("same").alias("known"))
-    open_items = ends.where("is_item AND item <> ''").select("item").distinct().join(begun, "item").select("item", "known")
+    # Only beginnings as long as some last item can be one; their digests are compared. The lengths are one row.
+    last_items = ends.where("is_item AND item <> ''").select("item").distinct()
+    sizes = last_items.agg(F.collect_set(F.length("item")).alias("sizes"))
+    begun = (
+        items.join(F.broadcast(sizes))
+        .select("whole", F.explode(F.filter("sizes", lambda k: k <= F.length("whole"))).alias("k"))
+        .select(F.expr("md5(cast(left(whole, k) AS binary))").alias("begin"), (F.col("k") == F.length("whole")).alias("same"))
+        .groupBy("begin")
+        .agg(F.max("same").alias("known"))
+    )
+    open_items = last_items.withColumn("begin", F.md5(F.col("item").cast("binary"))).join(begun, "begin").select("item", "known")
 
     joined = (
         ends.join(limits, F.col("source").eqNullSafe(F.col("limited")), "left")

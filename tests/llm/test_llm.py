@@ -311,3 +311,11 @@ def test_copies_of_a_cut_text_make_no_closing_line(spark):
     assert {got[i] for i in range(41)} == {"open_end"}
     assert {got[i] for i in range(140, 145)} == {"limit"}
     assert {got[i] for i in [*range(200, 205), *range(300, 330)]} == {None}
+
+
+def test_long_items_show_cut_ones(spark):
+    clause = f"1. {SENTENCE[:-1]} và {OTHERS[1][:-1]} hoặc {OTHERS[2][:-1]}"
+    short = "- Phiếu thu\n- Thư mời\n- Giấy xác nhận\n- Bản cam kết"
+    texts = [f"{clause}\n{short}", f"{short}\n{clause[:170]}", f"{short}\n{clause}"]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    assert len(clause) > 180 and {r.id for r in truncation.truncated(df).where("truncated").collect()} == {1}
