@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.functions.text import html_text, safe_stem
+from foliant.session import hadoop_path
 
 # What is read here, and what else a cloud parser reads.
 LOCAL = [".pdf", ".png", ".jpg", ".jpeg", ".webp", ".bmp", ".tif", ".tiff"]
@@ -92,9 +93,8 @@ def not_yet_written(df: DataFrame, key: str, spark: SparkSession, path: str, for
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def write_documents(df: DataFrame, path: str, key: str, text: str, force: bool = False) -> DataFrame:
