@@ -3,7 +3,8 @@
 Recursive bisection: a text longer than its limit is cut at the strongest boundary near its middle, and the
 halves are cut again while they exceed the limit less the overlap. Then each piece but the first is given the
 overlap: the characters before it. Boundaries by strength: the end of a page, a heading, the end of a paragraph,
-of a sentence, of a line, of a word; where a span has none of them, it is cut between characters, but never
+of a sentence, of a line, of a clause, of a word. If there is none near the middle, the nearest one anywhere in
+the span is taken that leaves wording on both sides. Only a span without any is cut between characters, but never
 between a letter and its marks or inside a line end.
 
 The pieces, less their overlaps, are the text: nothing is lost, nothing is added.
@@ -20,21 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAGE, HEADING, PARAGRAPH, SENTENCE, LINE, WORD = 6, 5, 4, 3, 2, 1
-
-#: A cut may be so far from the middle, as a share of the span.
+#: A cut is near the middle up to this share of the span; boundaries further off are taken if there are none.
 REACH = 0.3
 
 STRUCTURE = re.compile(r"\n[ \t\r]*(?:(?P<page>---+[ \t\r]*\n\s*|(?=(?:## Trang |<!-- page:|\x0c)))|(?P<heading>\s*(?=#{1,6} |(?:Điều|Chương|Mục|Section|Article|Chapter|CHƯƠNG|ĐIỀU) \d))|(?P<paragraph>\n\s*))")
-SENTENCE_END = re.compile(r"[.!?…;:][\"”’)\]]*\s+")
+#: Ends within a paragraph, strongest first: of a sentence, of a line, of a clause, of a word.
+ENDS = [re.compile(p) for p in (r"[.!?…][\"”’)\]]*\s+", r"\r?\n", r"[;:,][\"”’)\]]*\s+", r"\s+")]
 
 
-def _structure(text: str) -> list[tuple[list[int], int]]:
+def _structure(text: str) -> list[list[int]]:
     """Positions of the stronger boundaries, strongest first."""
     at: dict[str, list[int]] = {"page": [], "heading": [], "paragraph": []}
     for m in STRUCTURE.finditer(text):
         at[m.lastgroup or "page"].append(m.end())
-    return [(at["page"], PAGE), (at["heading"], HEADING), (at["paragraph"], PARAGRAPH)]
+    return list(at.values())
 
 
 def _nearest(places: list[int], lo: int, mid: int, hi: int) -> int | None:
@@ -47,28 +47,36 @@ def _nearest(places: list[int], lo: int, mid: int, hi: int) -> int | None:
     return best
 
 
-def _cut(text: str, structure: list[tuple[list[int], int]], start: int, end: int) -> int:
-    mid = (start + end) // 2
-    reach = max(1, int((end - start) * REACH))
-    lo, hi = max(start + 1, mid - reach), min(end - 1, mid + reach)
-    for places, _ in structure:
+def _boundary(text: str, structure: list[list[int]], start: int, lo: int, mid: int, hi: int) -> int | None:
+    """The strongest boundary in lo..hi, of equal ones the nearest to the middle."""
+    for places in structure:
         if (p := _nearest(places, lo, mid, hi)) is not None:
             return p
-    # The weaker ones are looked for around the middle only, in a span that doubles.
-    span = 64
-    while True:
-        a, b = max(lo, mid - span), min(hi, mid + span)
-        if p := _nearest([m.end() for m in SENTENCE_END.finditer(text, max(start, a - 8), b)], a, mid, b):
-            return p
-        if (a, b) == (lo, hi):
-            break
-        span *= 4
-    for mark in ("\n", " ", "\t", " "):
-        left, right = text.rfind(mark, lo - 1, mid), text.find(mark, mid, hi)
-        places = sorted(p + 1 for p in (left, right) if p >= 0 and lo <= p + 1 <= hi)
-        if (p := _nearest(places, lo, mid, hi)) is not None:
-            return p
-    p = mid
+    for end in ENDS:
+        # Looked for around the middle, in a span that grows.
+        span = 64
+        while True:
+            a, b = max(lo, mid - span), min(hi, mid + span)
+            if (p := _nearest([m.end() for m in end.finditer(text, max(start, a - 8), b)], a, mid, b)) is not None:
+                return p
+            if (a, b) == (lo, hi):
+                break
+            span *= 4
+    return None
+
+
+def _cut(text: str, structure: list[list[int]], start: int, end: int) -> int:
+    mid = (start + end) // 2
+    reach = max(1, int((end - start) * REACH))
+    p = _boundary(text, structure, start, max(start + 1, mid - reach), mid, min(end - 1, mid + reach))
+    if p is None:
+        # Anywhere between the first and the last wording of the span.
+        said = text[start:end]
+        lo, hi = start + len(said) - len(said.lstrip()) + 1, start + len(said.rstrip()) - 1
+        p = _boundary(text, structure, start, lo, mid, hi) if lo <= hi else None
+    if p is not None:
+        return p
+    p, hi = mid, min(end - 1, mid + reach)
     while p < hi and (_mark(text[p]) or text[p - 1 : p + 1] == "\r\n"):
         p += 1
     return p if p < hi else mid
@@ -107,17 +115,13 @@ def pieces(
     An overlap has to leave room: it counts as half the limit at most. Texts within the limit are one piece.
     ``limits`` has a row per strategy; if it names one twice, the smaller limit holds.
     """
-    few = limits.groupBy(F.col("chunking_strategy").alias("_s")).agg(F.min(F.struct("max_chars", "overlap_chars")).alias("_l"))
-    default = few.where(F.col("_s") == fallback).select(F.col("_l").alias("_d"))
+    few = limits.where("chunking_strategy IS NOT NULL").groupBy(F.col("chunking_strategy").alias("s")).agg(F.min(F.struct("max_chars", "overlap_chars")).alias("l"))
+    # A row per strategy, as one value of the plan: the texts are joined with nothing.
+    of = few.agg(F.map_from_entries(F.collect_list(F.struct("s", "l")))).scalar()
     kind = df.schema[key].dataType
-    rows = (
-        df.where(F.col(text).isNotNull())
-        .select(F.col(key).alias("k"), F.col(strategy).alias("_s"), F.col(text).alias("t"))
-        .join(few, "_s", "left")
-        .join(default, how="left")
-        .withColumn("_l", F.coalesce("_l", "_d"))
-        .select("k", F.col("_l.max_chars").alias("limit"), F.col("_l.overlap_chars").alias("overlap"), "t")
-    )
+    rows = df.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(strategy).alias("s"), F.col(text).alias("t"))
+    rows = rows.withColumn("l", F.coalesce(F.try_element_at(of, F.coalesce("s", F.lit(fallback))), F.try_element_at(of, F.lit(fallback))))
+    rows = rows.select("k", F.col("l.max_chars").alias("limit"), F.col("l.overlap_chars").alias("overlap"), "t")
     schema = T.StructType(
         [T.StructField(key, kind), *(T.StructField(n, T.IntegerType()) for n in ("piece_no", "n_pieces", "start_char", "overlap", "n_chars")), T.StructField("piece", T.StringType())]
     )
