@@ -20,7 +20,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,16 @@ def _becomes(c: int) -> str | None:
     return ch
 
 
+def _maybe() -> set[int]:
+    """Characters that NFC may join with the one before them (quick check "maybe"): the second halves of composites."""
+    out = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # vowels and finals of Hangul syllables
+    for c in range(0x110000):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.normalize("NFC", "".join(chr(int(p, 16)) for p in parts)) == chr(c):
+            out.add(int(parts[1], 16))
+    return out
+
+
 class _Single(dict):
     """A translation table that fills itself."""
 
@@ -63,11 +73,12 @@ class _Single(dict):
 
 
 def _unstable() -> str:
-    """The class of all characters of the basic plane that aren't stable on their own."""
+    """The class of all characters of the basic plane that aren't stable on their own, or not behind every other."""
     runs: list[list[int]] = []
+    maybe = _maybe()
     for c in range(0x10000):
         ch = chr(c)
-        if 0xD800 <= c < 0xE000 or _becomes(c) == ch and c not in LOOKS and not unicodedata.category(ch).startswith("M") and unicodedata.normalize("NFC", ch) == ch:
+        if 0xD800 <= c < 0xE000 or _becomes(c) == ch and c not in LOOKS and c not in maybe and not unicodedata.category(ch).startswith("M") and unicodedata.normalize("NFC", ch) == ch:
             continue
         if runs and runs[-1][1] == c - 1:
             runs[-1][1] = c
@@ -153,17 +164,65 @@ def canonical_texts(df: DataFrame, key: str = "page_id", text: str = "raw_text",
     return df.select(F.col(key), F.col(text)).mapInArrow(run, T.StructType(fields))
 
 
+#: Rows or spellings of one form that meet in one block of a join.
+BLOCK = 1000
+
+
+def _spellings(rows: DataFrame, key: str) -> DataFrame:
+    """``form, raw, n, first`` of the forms that are spelt in several ways, and how many (``ways``).
+
+    Everything is counted in parts before it is shuffled: a form may have a third of all rows.
+    """
+    each = rows.groupBy("form", "raw").agg(F.count("*").alias("n"), F.min(key).alias("first"))
+    forms = each.groupBy("form").agg(F.count("*").alias("ways"), F.sum("n").alias("all"), F.min("first").alias("class_id"))
+    return each.join(forms.where("ways > 1"), "form")
+
+
+def _forms(df: DataFrame, key: str, text: str, least: int) -> DataFrame:
+    return materialise(canonical_texts(df, key, text, digests=True).where(F.col("chars") >= least).drop("chars"), "forms")
+
+
+def lookalike_classes(df: DataFrame, key: str = "page_id", text: str = "raw_text", least: int = 30) -> DataFrame:
+    """``key, class_id, n_members, n_spellings, n_links`` of the rows that look like a row with another text.
+
+    ``class_id`` is the least key of the rows that look the same, ``n_links`` how many of them have another text.
+    Null and short texts are in no class.
+    """
+    rows = _forms(df, key, text, least)
+    several = _spellings(rows, key).select("form", "raw", "class_id", F.col("all").alias("n_members"), F.col("ways").alias("n_spellings"), (F.col("all") - F.col("n")).alias("n_links"))
+    # The right side has a row per spelling, so that adaptive execution can split a hot one on the left.
+    return rows.join(several, ["form", "raw"]).select(key, "class_id", "n_members", "n_spellings", "n_links")
+
+
+def _blocks(n: str) -> Column:
+    return F.ceil(F.col(n) / BLOCK).cast("int")
+
+
+def _block(value: str, n: str) -> Column:
+    return F.pmod(F.xxhash64(value), _blocks(n)).cast("int")
+
+
+def _numbers(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), n - 1))
+
+
 def lookalike_pairs(df: DataFrame, key: str = "page_id", text: str = "raw_text", least: int = 30) -> DataFrame:
     """``<key>_a`` < ``<key>_b``: rows whose texts differ but have one canonical form of ``least`` characters.
 
-    Null and short texts are in no pair, nor are equal texts. Copies cost nothing but their own rows in the
-    result: forms with a single spelling leave before any join, and pairs are made of spellings, then of rows.
+    Null and short texts are in no pair, nor are equal texts. Forms with a single spelling leave before any join;
+    then spellings are paired within their form, then the rows of two spellings. Both are done in blocks of BLOCK,
+    each pair of blocks by itself, so no task gets all rows of a form. (``lookalike_classes`` has the same result in
+    a row per row.)
     """
-    rows = materialise(canonical_texts(df, key, text, digests=True).where(F.col("chars") >= least).drop("chars"), "forms")
-    spellings = rows.select("form", "raw").distinct()
-    several = spellings.groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
-    spellings = spellings.join(several, "form", "left_semi")
-    pairs = spellings.withColumnRenamed("raw", "raw_a").join(spellings.withColumnRenamed("raw", "raw_b"), "form").where("raw_a < raw_b")
-    a = rows.select("form", F.col("raw").alias("raw_a"), F.col(key).alias("x"))
-    b = rows.select("form", F.col("raw").alias("raw_b"), F.col(key).alias("y"))
-    return pairs.join(a, ["form", "raw_a"]).join(b, ["form", "raw_b"]).select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
+    rows = _forms(df, key, text, least)
+    each = _spellings(rows, key).select("form", "raw", "n", "ways", _block("raw", "ways").alias("at"))
+    # Every two blocks of a form's spellings meet once in each order; the order of the digests picks one.
+    left = each.select("form", F.col("raw").alias("raw_a"), F.col("n").alias("n_a"), F.col("at").alias("i"), _numbers(_blocks("ways")).alias("j"))
+    right = each.select("form", F.col("raw").alias("raw_b"), F.col("n").alias("n_b"), F.col("at").alias("j"), _numbers(_blocks("ways")).alias("i"))
+    pairs = left.join(right, ["form", "i", "j"]).where("raw_a < raw_b").select("form", "raw_a", "raw_b", "n_a", "n_b")
+    members = rows.join(each.select("form", "raw", "n"), ["form", "raw"]).select("form", "raw", F.col(key).alias("x"), _block(key, "n").alias("at"))
+    cells = pairs.withColumn("i", _numbers(_blocks("n_a"))).withColumn("j", _numbers(_blocks("n_b"))).drop("n_a", "n_b")
+    a = cells.join(members.select("form", F.col("raw").alias("raw_a"), F.col("at").alias("i"), F.col("x").alias("x")), ["form", "raw_a", "i"])
+    b = cells.join(members.select("form", F.col("raw").alias("raw_b"), F.col("at").alias("j"), F.col("x").alias("y")), ["form", "raw_b", "j"])
+    found = a.join(b, ["form", "raw_a", "raw_b", "i", "j"])
+    return found.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))

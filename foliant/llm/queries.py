@@ -49,6 +49,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.lookalike_pairs(table(spark, sf_dir, "raw_pages"))
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.lookalike_classes(table(spark, sf_dir, "raw_pages"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.noise(table(spark, sf_dir, "raw_pages"))
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_pieces": p3_pieces,
     "p4_found": p4_found,
     "p4_canonical": p4_canonical,
+    "p4_classes": p4_classes,
     "p5_found": p5_found,
     "p5_clean": p5_clean,
     "p6_ids": p6_ids,

@@ -133,6 +133,37 @@ def test_pairs_against_brute_force(spark):
     assert canon.lookalike_pairs(pages(spark, ["x"]).limit(0)).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_canonical_is_one_for_equivalent_texts(text):
+    assert canon.canonical(unicodedata.normalize("NFD", text)) == canon.canonical(unicodedata.normalize("NFC", text)) == canon.canonical(text)
+
+
+def test_canonical_joins_syllables():
+    assert canon.canonical("\u1100\u1161 \u1112\u1161\u11ab") == "\uac00 \ud55c"
+
+
+@pytest.mark.parametrize("block", [2, 1000])
+def test_classes_and_blocks(spark, monkeypatch, block):
+    """A form with many copies and spellings, in blocks smaller than it, against brute force."""
+    monkeypatch.setattr(canon, "BLOCK", block)
+    texts = [SENTENCE] * 7 + [unicodedata.normalize("NFD", SENTENCE)] * 5 + [SENTENCE.replace(" ", "\u00a0", k) for k in range(1, 5)] + [OTHERS[0]] * 3 + [None, ""]
+    df = pages(spark, texts)
+    want = {(i, j) for i in range(16) for j in range(i + 1, 16) if texts[i] != texts[j]}
+    got = [(r.page_id_a, r.page_id_b) for r in canon.lookalike_pairs(df).collect()]
+    assert len(got) == len(want) and set(got) == want
+    rows = {r.page_id: r for r in canon.lookalike_classes(df).collect()}
+    assert set(rows) == set(range(16)) and {(r.class_id, r.n_members, r.n_spellings) for r in rows.values()} == {(0, 16, 6)}
+    assert all(rows[i].n_links == sum(texts[i] != t for t in texts[:16]) for i in rows)
+
+
+def test_cuts_reach_far_before_they_cut_words():
+    text = "a" * 100 + " " + "b" * 900
+    assert chunks.spans(text, 950, 0) == [(0, 101, 0), (101, 1001, 0)]
+    text = "\n" + "x" * 2000
+    assert all(text[a:b].strip() for a, b, _ in chunks.spans(text, 950, 0))
+
+
 # --- 5 ---
 
 
