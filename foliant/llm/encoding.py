@@ -29,6 +29,8 @@ from foliant.session import materialise
 
 # TCVN 5712 (the "ABC" fonts) from 0xA1, in its order; · stands for bytes without a letter.
 TCVN3 = "ĂÂÊÔƠƯĐăâêôơưđ······àảãáạ·ằẳẵắ·······ặầẩẫấậè·ẻẽéẹềểễếệìỉ···ĩíịò·ỏõóọồổỗốộờởỡớợù·ủũúụừửữứựỳỷỹýỵ"
+# VISCII (RFC 1456) from 0x80, in its order.
+VISCII = "ẠẮẰẶẤẦẨẬẼẸẾỀỂỄỆỐỒỔỖỘỢỚỜỞỊỎỌỈỦŨỤỲÕắằặấầẩậẽẹếềểễệốồổỗỠƠộờởịỰỨỪỬơớƯÀÁÂÃẢĂẳẵÈÉÊẺÌÍĨỳĐứÒÓÔạỷừửÙÚỹỵÝỡưàáâãảăữẫèéêẻìíĩỉđựòóôõỏọụùúũủýợỮ"
 # The second characters of the VNI fonts and what they put on a letter; then its single letters.
 VNI_MARKS = {"ø": "̀", "ù": "́", "û": "̉", "õ": "̃", "ï": "̣", "â": "̂", "á": "̂́", "à": "̂̀", "å": "̂̉", "ã": "̂̃", "ä": "̣̂", "ê": "̆", "é": "̆́", "è": "̆̀", "ú": "̆̉", "ü": "̆̃", "ë": "̣̆"}
 VNI_LETTERS = {"ñ": "đ", "ö": "ư", "ô": "ơ", "æ": "ỉ", "ó": "ĩ", "ò": "ị", "î": "ỵ", "Ñ": "Đ", "Ö": "Ư", "Ô": "Ơ", "Æ": "Ỉ", "Ó": "Ĩ", "Ò": "Ị", "Î": "Ỵ"}
@@ -96,12 +98,9 @@ def _page_as(true: str, seen: str) -> Undo:
     return undo
 
 
-def _tcvn3() -> Undo:
-    table: dict[int, str] = {}
-    for n, ch in enumerate(TCVN3):
-        if ch != "·":
-            b = 0xA1 + n
-            table[b] = ch
+def _letters_as_cp1252(letters: str, first: int) -> Undo:
+    """One-byte text whose bytes from ``first`` on are ``letters``, read as cp1252; · is no letter."""
+    table = {b: ch for b, ch in enumerate(letters, first) if ch != "·"}
     shown = {ord(c): table[b] for c, b in _byte_of("cp1252").items() if b in table}
     strange = re.compile("[^\x00-\x7f " + re.escape("".join(map(chr, shown))) + "–—‘’“”…]")
 
@@ -144,8 +143,9 @@ CHAINS: dict[str, Undo] = {
     "utf8_as_cp1251": _utf8_as("cp1251"),
     "utf8_as_gbk": _utf8_as_wide("gbk"),
     "cp1258_as_cp1252": _page_as("cp1258", "cp1252"),
-    "tcvn3_as_cp1252": _tcvn3(),
+    "tcvn3_as_cp1252": _letters_as_cp1252(TCVN3, 0xA1),
     "vni_as_cp1252": _vni(),
+    "viscii_as_cp1252": _letters_as_cp1252(VISCII, 0x80),
 }
 NAMES = ["none", "noise", "lost", *CHAINS]
 K = len(NAMES)
@@ -244,40 +244,81 @@ def evidence(df: DataFrame, key: str, text: str, sources: list[str]) -> DataFram
             if lines:
                 found = np.maximum(_evidence(model, lines), -1e6)
                 head = [pa.array(c, t) for c, t in zip(zip(*where, strict=True), (batch.schema.field(0).type, pa.string(), pa.int32()), strict=True)]
-                likes = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, K, dtype=np.int32)), pa.array(found.ravel()))
-                yield pa.RecordBatch.from_arrays([*head, likes], names)
+                yield pa.RecordBatch.from_arrays([*head, _lists(found)], names)
 
     return rows.mapInArrow(run, schema)
 
 
-def posteriors(seen: DataFrame) -> DataFrame:
-    """``id, source, line, chain, sure``: the most likely chain of each line and its posterior, after EM."""
+def _weights(likes: pa.Array, mixture: np.ndarray) -> np.ndarray:
+    """The posterior of each chain, rows x chains, under a mixture (K numbers) or one for each row."""
+    w = np.asarray(likes.flatten()).reshape(-1, K) + np.log(mixture)
+    w = np.exp(w - w.max(1, keepdims=True))
+    return w / w.sum(1, keepdims=True)
+
+
+def _summed(seen: DataFrame) -> DataFrame:
+    """``source, n, w``: of each source its lines and the sums of their posteriors, under the mixtures in ``p``.
+
+    Each Arrow batch is summed by itself, so that a source with a third of all lines moves as a few rows per task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                w = _weights(batch.column(1), np.asarray(batch.column(2).flatten()).reshape(-1, K))
+                coded = batch.column(0).dictionary_encode()
+                at = np.asarray(coded.indices)
+                n = np.bincount(at, minlength=len(coded.dictionary))
+                sums = np.stack([np.bincount(at, weights=w[:, k], minlength=len(n)) for k in range(K)], 1)
+                yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n), _lists(sums)], ["source", "n", "w"])
+
+    parts = seen.select("source", "likes", "p").mapInArrow(run, "source string, n long, w array<double>")
+    return parts.groupBy("source").agg(F.sum("n").alias("n"), F.array(*(F.sum(F.col("w")[k]) for k in range(K))).alias("w"))
 
-    def weights(df: DataFrame) -> DataFrame:
-        """Adds ``w``: the posterior of each chain under the mixture ``p``."""
-        df = df.withColumn("w", F.zip_with("likes", "p", lambda x, y: x + F.log(y)))
-        df = df.withColumn("top", F.array_max("w"))
-        df = df.withColumn("w", F.transform("w", lambda x: F.exp(x - F.col("top")))).drop("top")
-        df = df.withColumn("all", F.aggregate("w", F.lit(0.0), lambda a, x: a + x))
-        return df.withColumn("w", F.transform("w", lambda x: x / F.col("all"))).drop("all")
 
-    def counted(df: DataFrame) -> list:
-        return [F.count("*").alias("n"), *(F.sum(F.element_at("w", k + 1)).alias(f"w{k}") for k in range(K))]
+def _lists(values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, K, dtype=np.int32)), pa.array(values.ravel()))
 
-    constant = lambda values: F.array(*map(F.lit, values))
+
+def mixtures(seen: DataFrame) -> DataFrame:
+    """``source, p``: how often each chain occurs in each source, by expectation-maximisation.
+
+    A row of K numbers per source. Each round is written, so no round's plan holds those before it.
+    """
+    constant = lambda values: F.array(*map(F.lit, map(float, values)))
     # The first round gives the overall mixture: K numbers.
-    sums = weights(seen.withColumn("p", constant(PRIOR))).agg(*counted(seen)).first()
-    n = sums["n"] or 0
-    overall = [((sums[f"w{k}"] or 0.0) + 20 * PRIOR[k]) / (n + 20) for k in range(K)]
-    mixture = None
+    first = materialise(_summed(seen.withColumn("p", constant(PRIOR))), "mixture")
+    total = first.agg(F.sum("n").alias("n"), *(F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(K))).first()
+    n = total["n"] or 0
+    overall = [((total[f"w{k}"] or 0.0) + 20 * PRIOR[k]) / (n + 20) for k in range(K)]
+
+    def maximised(sums: DataFrame) -> DataFrame:
+        return sums.select("source", F.zip_with("w", constant(overall), lambda w, o: (w + PULL * o) / (F.col("n") + PULL)).alias("p"))
+
+    now = seen.withColumn("p", constant(overall))
     for _ in range(ROUNDS):
-        now = seen.withColumn("p", constant(overall)) if mixture is None else seen.join(mixture, "source")
-        parts = weights(now).groupBy("source").agg(*counted(now))
-        mixture = parts.select("source", F.array(*((F.col(f"w{k}") + PULL * overall[k]) / (F.col("n") + PULL) for k in range(K))).alias("p"))
-    last = weights(seen.join(mixture, "source")).withColumn("best", F.array_max("w"))
-    chain = F.element_at(F.array(*map(F.lit, NAMES)), F.array_position("w", F.col("best")).cast("int"))
-    wrong = 1 - F.element_at("w", 1) - F.element_at("w", 2)
-    return last.select("id", "source", "line", chain.alias("chain"), F.col("best").alias("sure"), wrong.alias("wrong"))
+        mixture = materialise(maximised(_summed(now)), "mixture")
+        now = seen.join(mixture, "source")
+    return mixture
+
+
+def posteriors(seen: DataFrame) -> DataFrame:
+    """``id, source, line, chain, sure, wrong``: the most likely chain of each line, its posterior, and that of any, after EM.
+
+    Mixtures are joined to lines. Small ones are broadcast, by their size as written; beyond that adaptive execution
+    splits a source that has many lines.
+    """
+    now = seen.join(mixtures(seen), "source").select("id", "source", "line", "likes", "p")
+    schema = T.StructType([*now.schema.fields[:3], T.StructField("chain", T.StringType()), T.StructField("sure", T.DoubleType()), T.StructField("wrong", T.DoubleType())])
+    names = pa.array(NAMES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                w = _weights(batch.column(3), np.asarray(batch.column(4).flatten()).reshape(-1, K))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], names.take(pa.array(w.argmax(1))), pa.array(w.max(1)), pa.array(1 - w[:, 0] - w[:, 1])], schema.fieldNames())
+
+    return now.mapInArrow(run, schema)
 
 
 def garbled_lines(df: DataFrame, key: str = "page_id", text: str = "raw_text", sources: tuple[str, ...] = ("document_id",)) -> DataFrame:
