@@ -215,7 +215,7 @@ def lookalike_pairs(df: DataFrame, key: str = "page_id", text: str = "raw_text",
     a row per row.)
     """
     rows = _forms(df, key, text, least)
-    each = _spellings(rows, key).select("form", "raw", "n", "ways", _block("raw", "ways").alias("at"))
+    each = materialise(_spellings(rows, key).select("form", "raw", "n", "ways", _block("raw", "ways").alias("at")), "spellings")
     # Every two blocks of a form's spellings meet once in each order; the order of the digests picks one.
     left = each.select("form", F.col("raw").alias("raw_a"), F.col("n").alias("n_a"), F.col("at").alias("i"), _numbers(_blocks("ways")).alias("j"))
     right = each.select("form", F.col("raw").alias("raw_b"), F.col("n").alias("n_b"), F.col("at").alias("j"), _numbers(_blocks("ways")).alias("i"))
