@@ -18,7 +18,6 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliant.llm import tokens
 from foliant.session import materialise
@@ -75,25 +74,57 @@ def _to_sources(weight: np.ndarray, size: np.ndarray, source: np.ndarray, wanted
     return weight
 
 
-def mixture(
-    df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", language: str = "lang", topic: str = "document_type", folder: str = tokens.TOKENIZERS
-) -> DataFrame:
-    """``key, source, n_tokens, times``: the records taken, and how often (1 to the source's max_repeat).
-
-    Sources without a target, null sources and texts without tokens are never taken; a target without records is
-    left out and the others' shares are scaled up. Null languages and topics are values of their own.
-    """
+def _sized(df: DataFrame, targets: DataFrame, key: str, text: str, source: str, language: str, topic: str, folder: str) -> tuple[DataFrame, list[tuple[str, float, int]]]:
+    """``id, source, lang, topic, n_tokens`` of the records that may be taken, and the targets (source, share, cap)."""
     rows = df.select(F.col(key).alias("id"), F.col(source).alias("source"), F.coalesce(F.col(language), F.lit("")).alias("lang"), F.coalesce(F.col(topic), F.lit("")).alias("topic"), F.col(text).alias("text"))
     goals = [(r.source, float(r.target_share), int(r.max_repeat)) for r in targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeat").alias("max_repeat")).where("source IS NOT NULL AND target_share > 0 AND max_repeat > 0").collect()]
     rows = rows.where(F.col("source").isin([g[0] for g in goals]))
     sized = materialise(tokens.token_counts(rows, "text", "n_tokens", folder).where("n_tokens > 0"), "sized")
     for name in ("topic", "lang"):
         sized = _bounded(sized, name, len(goals))
-    cells = sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), "source", "lang", "topic").collect()
-    plan = _plan(cells, goals)
-    schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("topic", T.StringType()), T.StructField("weight", T.DoubleType()), T.StructField("cap", T.IntegerType())])
-    weights = df.sparkSession.createDataFrame(plan, schema)
-    return _drawn(sized, weights).withColumnRenamed("id", key)
+    return sized, goals
+
+
+def _mixed(sized: DataFrame, goals: list[tuple[str, float, int]]) -> DataFrame:
+    cells = sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("records")).orderBy(F.desc("n"), "source", "lang", "topic").collect()
+    schema = "source string, lang string, topic string, weight double, cap int, parts int"
+    return _drawn(sized, sized.sparkSession.createDataFrame(_plan(cells, goals), schema))
+
+
+def mixture(
+    df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", language: str = "lang", topic: str = "document_type", folder: str = tokens.TOKENIZERS
+) -> DataFrame:
+    """``key, source, lang, topic, n_tokens, times``: the records taken, and how often (1 to the source's max_repeat).
+
+    Sources without a target, null sources and texts without tokens are never taken; a target without records is
+    left out and the others' shares are scaled up. Null languages and topics are values of their own ("").
+    """
+    return _mixed(*_sized(df, targets, key, text, source, language, topic, folder)).withColumnRenamed("id", key)
+
+
+def margins(
+    df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", language: str = "lang", topic: str = "document_type", folder: str = tokens.TOKENIZERS
+) -> DataFrame:
+    """``attribute, value, wanted_share, share, n_tokens``: of each source, language and topic the share it is to have and has.
+
+    Sources are to have their targets, scaled to those with records; languages and topics the share they have in all
+    records that may be taken. A cap or a large record can keep a share from being reached.
+    """
+    sized, goals = _sized(df, targets, key, text, source, language, topic, folder)
+    taken = materialise(_mixed(sized, goals), "taken")
+    wanted = {g[0]: g[1] for g in goals}
+    goal = F.coalesce(*(F.when(F.col("value") == s, F.lit(x)) for s, x in wanted.items())) if wanted else F.lit(None).cast("double")
+    out = None
+    for name, attribute in (("source", "source"), ("lang", "language"), ("topic", "topic")):
+        have = sized.groupBy(F.col(name).alias("value")).agg(F.sum("n_tokens").alias("all"))
+        have = have.withColumn("goal", goal if name == "source" else F.col("all").cast("double"))
+        got = taken.groupBy(F.col(name).alias("value")).agg(F.sum(F.col("n_tokens") * F.col("times")).alias("n_tokens"))
+        # A row per value, bounded as the cells are.
+        each = have.join(got, "value", "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)))
+        share = lambda c: F.expr(f"{c} / nullif(sum({c}) OVER (), 0)")
+        each = each.select(F.lit(attribute).alias("attribute"), "value", share("goal").alias("wanted_share"), F.coalesce(share("n_tokens"), F.lit(0.0)).alias("share"), "n_tokens")
+        out = each if out is None else out.unionByName(each)
+    return out
 
 
 def _bounded(sized: DataFrame, name: str, sources: int) -> DataFrame:
@@ -129,31 +160,32 @@ def _plan(cells: list, goals: list[tuple[str, float, int]]) -> list[tuple]:
         np.array([by[s][1] / total for s in present]),
         np.array([by[s][2] for s in present], dtype=float),
     )
-    return [(c["source"], c["lang"], c["topic"], float(w), by[c["source"]][2]) for c, w in zip(cells, weight, strict=True)]
+    return [(c["source"], c["lang"], c["topic"], float(w), by[c["source"]][2], math.ceil(c["records"] / PART)) for c, w in zip(cells, weight, strict=True)]
 
 
-#: Parts of a stratum of equal size that are summed each by itself: one may hold a third of all records.
-PARTS = 16
+#: A stratum of equal size is summed in parts, so many that all of its cell's records would give parts of this many.
+PART = 50_000
 
 
 def _drawn(sized: DataFrame, weights: DataFrame) -> DataFrame:
     """Systematic draws: the running sum of a source's fractional weights passes a grid of ones.
 
     A source's records stand by size, in strata, so that the draws take large and small ones alike. A stratum is
-    summed in parts, and the sums of the parts, a small table, give each part its start.
+    summed in parts, and the sums of the parts, a small table, give each part its start. A part is a task's own
+    however large its stratum is.
     """
     # The weights are a row per cell, CELLS at most.
     rows = sized.join(F.broadcast(weights), ["source", "lang", "topic"])
     rows = rows.withColumn("whole", F.floor("weight").cast("int")).withColumn("fraction", F.col("weight") - F.floor("weight")).withColumn("draw", F.xxhash64("id", F.lit(SEED)))
     part = ["source", "stratum", "lang", "topic", "part"]
-    rows = rows.withColumn("stratum", F.floor(F.log2("n_tokens") * 8).cast("int")).withColumn("part", F.pmod(F.shiftright("draw", 8), F.lit(PARTS)).cast("int"))
+    rows = rows.withColumn("stratum", F.floor(F.log2("n_tokens") * 8).cast("int")).withColumn("part", F.pmod(F.shiftright("draw", 8), F.col("parts")).cast("int"))
     sums = rows.groupBy(part).agg(F.sum("fraction").alias("f"))
     starts = sums.select(*part, (F.expr("sum(f) OVER (PARTITION BY source ORDER BY stratum, lang, topic, part ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)") - F.col("f")).alias("start"))
     rows = rows.join(starts, part)
     rows = rows.withColumn("sum", F.col("start") + F.expr(f"sum(fraction) OVER (PARTITION BY {', '.join(part)} ORDER BY draw, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
     more = F.floor(F.col("sum") + 0.5) > F.floor(F.col("sum") - F.col("fraction") + 0.5)
     times = F.least(F.col("whole") + more.cast("int"), F.col("cap"))
-    return rows.select("id", "source", "n_tokens", times.alias("times")).where("times > 0")
+    return rows.select("id", "source", "lang", "topic", "n_tokens", times.alias("times")).where("times > 0")
 
 
 def shares(taken: DataFrame, targets: DataFrame) -> DataFrame:

@@ -80,6 +80,11 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p7_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p7_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of sources, languages and topics, beside those they are to have."""
+    return mixing.margins(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncated(table(spark, sf_dir, "documents")).where("truncated").select(F.col("id").alias("doc_id"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_roundtrip": p6_roundtrip,
     "p7_mixture": p7_mixture,
     "p7_shares": p7_shares,
+    "p7_margins": p7_margins,
     "p8_found": p8_found,
     "p8_rates": p8_rates,
 }
