@@ -12,15 +12,19 @@ finished item, a table row, a form field or a bare title isn't. An item is unfin
 item but has one that goes on from there.
 
 All counts run over all documents, copies of a text as one, and are aggregated before they are shuffled; the
-histogram has at most sources x lengths rows, its spikes a few per source.
+histogram has at most sources x lengths rows, its spikes a few per source. Which items others go on from is asked
+of the sorted items: an item's continuations follow it at once, so that neighbours are compared.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.session import materialise
 
@@ -92,8 +96,9 @@ def profile(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
         F.col("last").rlike(ROW).alias("is_row"),
         F.col("last").rlike(FIELD).alias("is_field"),
         F.col("last").rlike(r"[.!?;,]\s").alias("has_sentence"),
-        _key(F.col("last")).alias("last_key"),
-        F.md5(F.col("core").cast("binary")).alias("digest"),
+        F.unhex(F.md5(_key(F.col("last")).cast("binary"))).alias("last_key"),
+        F.trim(F.col("last")).endswith(",").alias("comma"),
+        F.unhex(F.md5(F.col("core").cast("binary"))).alias("digest"),
         F.when(F.col("last").rlike(ITEM), _item(F.col("last"))).alias("item"),
     )
 
@@ -101,7 +106,7 @@ def profile(df: DataFrame, key: str = "doc_id", text: str = "text", source: str
 def spikes(ends: DataFrame) -> DataFrame:
     """``source``, ``unit`` (chars or octets), ``limit``, ``n``: the field limits that show in the lengths."""
     # Each text of a source counts once: the length of a text that is stored often is no limit.
-    ends = ends.select("source", "digest", "chars", "octets", "terminal").distinct()
+    ends = ends.groupBy("source", "digest").agg(*(F.first(c).alias(c) for c in ("chars", "octets", "terminal")))
     counts = (
         ends.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("size")), F.struct(F.lit("octets").alias("unit"), F.col("octets").alias("size")))).alias("x"), "terminal")
         .select("source", "x.unit", "x.size", "terminal")
@@ -117,7 +122,6 @@ def spikes(ends: DataFrame) -> DataFrame:
         .withColumn("before", F.col("reach") / F.least(F.lit(397.0), F.greatest(F.col("size") - 3, F.lit(1))))
         .where(
             (F.col("n") >= SPIKE_LEAST)
-            & (F.col("size") >= 100)
             & (F.col("n") >= SPIKE_SHARE * F.col("total"))
             & (F.col("n") >= SPIKE_TIMES * F.greatest(F.col("before"), F.lit(1 / 397)))
             & (F.col("beyond") <= F.greatest(BEYOND * F.col("total"), 0.5 * F.col("n")))
@@ -127,6 +131,64 @@ def spikes(ends: DataFrame) -> DataFrame:
     )
 
 
+def _corpus_items(df: DataFrame, text: str) -> DataFrame:
+    """``item``: what the items of the corpus say, each once, but for the last line of each text."""
+    lines = F.split(F.col(text), "\r?\n")
+    inner = F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x.rlike(ITEM))
+    return df.select(F.explode(inner).alias("line")).select(_item(F.col("line")).alias("item")).where("item <> ''").distinct()
+
+
+def begun_items(items: DataFrame, lasts: DataFrame) -> DataFrame:
+    """``item, known`` of the last items that are an item of the corpus (``known``) or that one of them goes on from.
+
+    Both have a column ``item`` without repeats. They are sorted in ranges; what an item goes on as follows it. The
+    last items at the end of a range are compared with the first items of the ranges behind, a row per range.
+    """
+    both = items.select("item", F.lit(False).alias("last")).unionByName(lasts.select("item", F.lit(True).alias("last")))
+    both = both.groupBy("item").agg(F.max("last").alias("last"), F.max(~F.col("last")).alias("whole"))
+    both = both.repartitionByRange("item").sortWithinPartitions("item").withColumn("part", F.spark_partition_id())
+    schema = "item string, known boolean, part int, first boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of last items whose next item has come, of those that wait at the end (``known`` null), and of the first item."""
+        waiting: list[str] = []
+        part, began = None, False
+        for batch in batches:
+            out: list[tuple] = []
+            for item, last, whole, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = at
+                if whole:
+                    if not began:
+                        began = True
+                        out.append((item, None, at, True))
+                    # What waits is a chain of beginnings of one another, or ends here.
+                    out += ((x, False, at, False) for x in waiting if item.startswith(x))
+                    waiting.clear()
+                    if last:
+                        out.append((item, True, at, False))
+                elif last:
+                    waiting = [x for x in waiting if item.startswith(x)]
+                    waiting.append(item)
+            if out:
+                yield _rows(out)
+        if waiting:
+            yield _rows([(x, None, part, False) for x in waiting])
+
+    found = materialise(both.select("item", "last", "whole", "part").mapInArrow(run, schema), "items")
+    # A row per range: the first item of the next range that has one.
+    firsts = found.where("first").select("part", F.col("item").alias("first"))
+    rest = found.where("NOT first AND known IS NULL").select("item", "part")
+    ranges = rest.select("part", F.lit(None).cast("string").alias("first")).unionByName(firsts).groupBy("part").agg(F.max("first").alias("first"))
+    ranges = ranges.select("part", F.expr("first(first, true) OVER (ORDER BY part ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)").alias("next"))
+    across = rest.join(ranges, "part").where(F.startswith("next", F.col("item"))).select("item", F.lit(False).alias("known"))
+    return found.where("known IS NOT NULL").select("item", "known").unionByName(across)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.bool_(), pa.int32(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["item", "known", "part", "first"])
+
+
 def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per non-blank text: ``id``, ``source``, ``truncated``, ``reason`` (limit, open_end or null).
 
@@ -141,33 +203,12 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
         F.collect_set(F.when(F.col("unit") == "octets", F.col("limit"))).alias("octet_limits"),
     )
     # Each text counts once: copies of a cut one don't make its last line a closing line.
-    texts = ends.select("last_key", "digest").distinct()
-    closings = (
-        texts.where(F.length("last_key") <= 80)
-        .groupBy("last_key")
-        .agg(F.count("*").alias("n_last"))
-        .join(texts.agg(F.count("*").alias("n_all")))
-        .where((F.col("n_last") >= F.greatest(F.lit(CLOSING_LEAST), CLOSING_SHARE * F.col("n_all"))) & ~F.col("last_key").rlike(r",$"))
-        .select("last_key", F.lit(True).alias("closing"))
-    )
-    # Items of the corpus, each once; then those among them that a last item begins.
-    lines = F.split(F.col(text), "\r?\n")
-    items = (
-        df.select(F.explode(F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x.rlike(ITEM))).alias("line"))
-        .select(_item(F.col("line")).alias("whole"))
-        .distinct()
-    )
-    # Only beginnings as long as some last item can be one; their digests are compared. The lengths are one row.
+    texts = ends.groupBy("digest").agg(F.first("last_key").alias("last_key"), F.first("comma").alias("comma"))
+    counted = texts.groupBy("last_key", "comma").agg(F.count("*").alias("n_last"))
+    n_all = counted.agg(F.sum("n_last")).scalar()
+    closings = counted.where(~F.col("comma") & (F.col("n_last") >= F.greatest(F.lit(CLOSING_LEAST), CLOSING_SHARE * n_all))).select("last_key", F.lit(True).alias("closing"))
     last_items = ends.where("is_item AND item <> ''").select("item").distinct()
-    sizes = last_items.agg(F.collect_set(F.length("item")).alias("sizes"))
-    begun = (
-        items.join(F.broadcast(sizes))
-        .select("whole", F.explode(F.filter("sizes", lambda k: k <= F.length("whole"))).alias("k"))
-        .select(F.expr("md5(cast(left(whole, k) AS binary))").alias("begin"), (F.col("k") == F.length("whole")).alias("same"))
-        .groupBy("begin")
-        .agg(F.max("same").alias("known"))
-    )
-    open_items = last_items.withColumn("begin", F.md5(F.col("item").cast("binary"))).join(begun, "begin").select("item", "known")
+    open_items = begun_items(_corpus_items(df, text), last_items)
 
     joined = (
         ends.join(limits, F.col("source").eqNullSafe(F.col("limited")), "left")
@@ -178,7 +219,8 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     at_limit = F.array_contains(F.coalesce("char_limits", none), F.col("chars")) | F.exists(F.coalesce("octet_limits", none), lambda x: F.col("octets").between(x - 3, x + 2))
     closing = F.coalesce("closing", F.lit(False))
     fixed_end = F.col("terminal") | F.col("is_field")
-    by_limit = at_limit & ~fixed_end
+    # A single word, as a code of fixed length, is no text that was cut.
+    by_limit = at_limit & ~fixed_end & ((F.col("n_words") > 1) | (F.col("n_lines") > 1))
     unfinished_item = F.col("is_item") & ~F.coalesce("known", F.lit(True))
     title = (F.col("n_lines") == 1) & ~F.col("has_sentence") & (F.col("n_words") <= 16)
     prose = ~F.col("is_item") & ~F.col("is_row") & ~F.col("is_field") & ~F.col("short_lines") & ~title & ~closing
@@ -194,5 +236,6 @@ def rates(judged: DataFrame) -> DataFrame:
         F.count("*").alias("n_docs"),
         F.count_if("truncated").alias("n_truncated"),
         F.count_if(F.col("reason") == "limit").alias("n_by_limit"),
+        F.count_if(F.col("reason") == "open_end").alias("n_by_end"),
         F.round(F.count_if("truncated") / F.count("*"), 6).alias("rate"),
     )

@@ -68,6 +68,39 @@ def test_chains_round_trip(chain):
     assert encoding.CHAINS[names[chain]](seen) == SENTENCE
 
 
+def test_legacy_letters_round_trip():
+    byte = {ch: 0x80 + i for i, ch in enumerate(encoding.VISCII)}
+    seen = "".join(bytes([byte.get(c, ord(c))]).decode("cp1252", "ignore") or chr(byte[c]) for c in SENTENCE)
+    assert encoding.strange(seen) and encoding.CHAINS["viscii_as_cp1252"](seen) == SENTENCE
+
+
+def test_mixtures_pool_by_source(spark):
+    """Against a plain loop; a source in many partitions gives the same as in one."""
+    rng = np.random.default_rng(2)
+    likes = np.maximum(rng.normal(-20, 6, (60, encoding.K)), -1e6)
+    source = [f"s{i % 3}" for i in range(60)]
+    schema = "id long, source string, line int, likes array<double>"
+    df = spark.createDataFrame([(i, source[i], 0, likes[i].tolist()) for i in range(60)], schema)
+    prior = np.array(encoding.PRIOR)
+
+    def weights(p):
+        w = np.exp(likes + np.log(p))
+        return w / w.sum(1, keepdims=True)
+
+    overall = (weights(prior[None]).sum(0) + 20 * prior) / 80
+    p = np.tile(overall, (60, 1))
+    for _ in range(encoding.ROUNDS):
+        w = weights(p)
+        each = {s: (w[[x == s for x in source]].sum(0) + encoding.PULL * overall) / (20 + encoding.PULL) for s in set(source)}
+        p = np.array([each[s] for s in source])
+    for parts in (1, 7):
+        got = {r.source: r.p for r in encoding.mixtures(df.repartition(parts)).collect()}
+        assert set(got) == set(each) and all(np.allclose(got[s], each[s]) for s in each)
+    found = {r.id: (r.chain, r.wrong) for r in encoding.posteriors(df).collect()}
+    w = weights(p)
+    assert all(found[i][0] == encoding.NAMES[w[i].argmax()] and np.isclose(found[i][1], 1 - w[i, 0] - w[i, 1]) for i in range(60))
+
+
 def test_garbled(spark):
     clean = [" ".join(OTHERS), SENTENCE] * 6
     wrong = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in SENTENCE.encode())
@@ -266,7 +299,7 @@ def test_tokens_against_library(spark):
 # --- 7 ---
 
 
-def test_mixture(spark):
+def test_mixture(spark, monkeypatch):
     try:
         tokens.encoder()
     except OSError:
@@ -282,6 +315,12 @@ def test_mixture(spark):
         assert abs(got[s].share - share / 0.9) < 0.02 and got[s].most_times <= got[s].max_repeat
     assert got["D"].n_tokens == 0 and taken.where("source IS NULL OR source = 'E'").count() == 0 and taken.count() == taken.select("doc_id").distinct().count()
     assert mixing.mixture(df.limit(0), targets).count() == 0
+    monkeypatch.setattr(mixing, "PART", 50)
+    margins = {(r.attribute, r.value): r for r in mixing.margins(df, targets).collect()}
+    assert abs(margins["source", "B"].wanted_share - 0.4 / 0.9) < 1e-9 and ("source", "D") not in margins
+    assert {k for k in margins if k[0] != "source"} == {("language", ""), ("language", "vi"), ("language", "en"), ("topic", ""), ("topic", "x")}
+    assert all(abs(r.share - r.wanted_share) < 0.03 for r in margins.values())
+    assert mixing.margins(df.limit(0), targets).count() == 0
 
 
 def test_mixture_keeps_rare_topics(spark, monkeypatch):
@@ -344,6 +383,27 @@ def test_copies_of_a_cut_text_make_no_closing_line(spark):
     assert {got[i] for i in [*range(200, 205), *range(300, 330)]} == {None}
 
 
+def test_begun_items_against_brute_force(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(1, 7)))
+    items, lasts = {word() for _ in range(60)}, {word() for _ in range(60)} | {"z", "zz"}
+    frame = lambda x: spark.createDataFrame([(i,) for i in sorted(x)], "item string").repartition(5)
+    want = {(x, x in items) for x in lasts if any(y.startswith(x) for y in items)}
+    got = [(r.item, r.known) for r in truncation.begun_items(frame(items), frame(lasts)).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert truncation.begun_items(frame(items).limit(0), frame(lasts)).count() == 0
+
+
+def test_short_limits_and_fixed_lengths(spark):
+    rng = random.Random(9)
+    names = [" ".join(rng.sample("học vụ quy định sinh viên đào tạo phòng ban hồ sơ năm lịch thi kết quả điểm rèn luyện".split(), 16))[: rng.choice([40, rng.randint(12, 39)])].strip() for _ in range(200)]
+    codes = [f"CT{i:05d}" for i in range(100)]
+    df = spark.createDataFrame([(i, t, "names" if i < 200 else "codes") for i, t in enumerate([*names, *codes])], "doc_id long, text string, source string")
+    got = {r.id for r in truncation.truncated(df).where("truncated").collect()}
+    at = {i for i, t in enumerate(names) if len(t) == 40}
+    assert len(at) > 40 and at <= got and not {i for i in got if i >= 200}
+
+
 def test_long_items_show_cut_ones(spark):
     clause = f"1. {SENTENCE[:-1]} và {OTHERS[1][:-1]} hoặc {OTHERS[2][:-1]}"
     short = "- Phiếu thu\n- Thư mời\n- Giấy xác nhận\n- Bản cam kết"
