@@ -40,32 +40,53 @@ def compile_rules(c: Column, rules: Sequence[Rule]) -> Column:
 
 # Glyphs of bullets and dashes, and quotes.
 GLYPHS = [("●", "•"), ("·", "•"), ("▪", "•"), ("\uf0a7", "•"), ("\uf02d", "-"), ("—", "–"), ("−", "-"), ("„", "“"), ("‟", "”"), ("''", '"'), ("``", '"')]
-# Frequent misreadings in administrative Vietnamese, in this order, case ignored.
+# Frequent misreadings in administrative Vietnamese, as patterns and what is right, in this order, case ignored.
 MISREADINGS = [
-    ("Căn cử", "Căn cứ"), ("Căn củ", "Căn cứ"), ("Căn cửu", "Căn cứ"), ("tin dụng", "tín dụng"), ("đảo tạo", "đào tạo"), ("Đào tào", "Đào tạo"),
-    ("đề hỗ trợ", "để hỗ trợ"), ("kỳ han", "kỳ hạn"), ("kỳ hạrn", "kỳ hạn"), ("tỉnh hình", "tình hình"), ("thay döi", "thay đổi"),
-    ("nganh, linh vuc", "ngành, lĩnh vực"), ("nghi học", "nghỉ học"), ("đóng dầu", "đóng dấu"), ("nghiện cứu sinh", "nghiên cứu sinh"),
-    ("thạc sỹ", "thạc sĩ"), ("học bồng", "học bổng"), ("đỉnh kèm", "đính kèm"), ("khoá học", "khóa học"), ("Dai hoc", "Đại học"), ("DẠI HỌC", "ĐẠI HỌC"),
-    ("Quyet dinh", "Quyết định"), ("Thong bao", "Thông báo"), ("Sinh vien", "Sinh viên"), ("Hoc vu", "Học vụ"), ("Dao tao", "Đào tạo"),
-    ("Hieu truong", "Hiệu trưởng"), ("Uu tiên", "Ưu tiên"), ("ngày cấp", "ngày cấp"),
+    (r"\bCăn\s+cử\b", "Căn cứ"), (r"\bCăn\s+củ\b", "Căn cứ"), (r"\bCăn\s+cửu\b", "Căn cứ"),
+    (r"\btin dụng\b", "tín dụng"), (r"\btin\s+dụng\b", "tín dụng"), (r"\bđảo tạo\b", "đào tạo"), (r"\bĐào tào\b", "Đào tạo"),
+    (r"\bđề\s+giải ngân\s+v[ôo]n\s+vay\b", "để giải ngân vốn vay"), (r"\bđề\s+hỗ trợ\b", "để hỗ trợ"),
+    (r"\bkỳ han\b", "kỳ hạn"), (r"\bkỳ hạrn\b", "kỳ hạn"), (r"\bv[ôo]n vay\b", "vốn vay"), (r"\btỉnh hình\b", "tình hình"), (r"\bthay döi\b", "thay đổi"),
+    (r"\bnganh, linh vuc\b", "ngành, lĩnh vực"), (r"\bnghi học\b", "nghỉ học"), (r"\bđóng dầu\b", "đóng dấu"),
+    (r"\bnghiện cứu sinh\b", "nghiên cứu sinh"), (r"\bnghi[êe]n cứu sinh\b", "nghiên cứu sinh"), (r"\bthạc sỹ\b", "thạc sĩ"),
+    (r"\bhọc bồng\b", "học bổng"), (r"\bđỉnh kèm\b", "đính kèm"), (r"\bkhoá học\b", "khóa học"),
+    (r"\bviệt nam\b", "Việt Nam"), (r"\bnhà nước việt nam\b", "Nhà nước Việt Nam"), (r"\bngân hàng nhà nước việt nam\b", "Ngân hàng Nhà nước Việt Nam"),
+    (r"\bbộ tài chính\b", "Bộ Tài chính"), (r"\bbộ giáo dục và đào tạo\b", "Bộ Giáo dục và Đào tạo"),
+    (r"\bngân hàng chính sách xã hội\b", "Ngân hàng Chính sách xã hội"), (r"\bngân hàng chính sách xả hội\b", "Ngân hàng Chính sách xã hội"),
+    (r"\bThủ tướng chính phủ\b", "Thủ tướng Chính phủ"), (r"\bphó thủ tướng chính phủ\b", "Phó Thủ tướng Chính phủ"), (r"\bchính phủ\b", "Chính phủ"),
+    (r"\bCộng hòa xã hội chủ nghĩa việt nam\b", "Cộng hòa xã hội chủ nghĩa Việt Nam"), (r"\bCọng hòa xã hội chủ nghĩa việt nam\b", "Cộng hòa xã hội chủ nghĩa Việt Nam"),
+    (r"\bCÒ G HÒA XÃ HỘI CHỦ NGHĨA VIỆT NAM\b", "CỘNG HÒA XÃ HỘI CHỦ NGHĨA VIỆT NAM"),
+    (r"\bDai hoc\b", "Đại học"), (r"\bDẠI HỌC\b", "ĐẠI HỌC"), (r"\bQuyet dinh\b", "Quyết định"), (r"\bQUYET DINH\b", "QUYẾT ĐỊNH"),
+    (r"\bThong bao\b", "Thông báo"), (r"\bTHONG BAO\b", "THÔNG BÁO"), (r"\bSinh vien\b", "Sinh viên"), (r"\bSINH VIEN\b", "SINH VIÊN"),
+    (r"\bHoc vu\b", "Học vụ"), (r"\bHOC VU\b", "HỌC VỤ"), (r"\bCong tac sinh vien\b", "Công tác sinh viên"), (r"\bCONG TAC SINH VIEN\b", "CÔNG TÁC SINH VIÊN"),
+    (r"\bPhong Dao tao\b", "Phòng Đào tạo"), (r"\bDao tao\b", "Đào tạo"), (r"\bHieu truong\b", "Hiệu trưởng"), (r"\bUu tiên\b", "Ưu tiên"),
+    (r"\bM[ẪÃA]U\s+2\s+Ở\s+KÍ:?\s+AI\s+THÔNG\s+TIN\b", "MẪU TỜ KHAI THÔNG TIN"), (r"\bMAU\s+T[OỜ]\s+KHAI\b", "MẪU TỜ KHAI"),
+    (r"\bNGÂN\s+JANG\s+CHÍNH\s+SÁCH\s+XÃ\s+HỘI\b", "NGÂN HÀNG CHÍNH SÁCH XÃ HỘI"), (r"\bTỜ\s+KHAI\s+THÔNG\s+TIN\s+HẰNG\s+NÃM\b", "TỜ KHAI THÔNG TIN HẰNG NĂM"),
+    (r"\bMÀ\s+50\s*-U.*?THÔNG\s+TIN\s+HÀNG\s+NĂM\s+CỦA\s+NGƯỜI\s+HỌC\b", "MẪU TỜ KHAI THÔNG TIN HẰNG NĂM CỦA NGƯỜI HỌC"),
+    (r"\bCCCD\s+số\b", "CCCD số"), (r"\bCCD\s+số\b", "CCCD số"), (r"\bngày cấp\b", "ngày cấp"),
 ]
-# Abbreviations that are glued to the word behind them.
-GLUED = ["CTSV", "ĐRL", "CVHT", "QĐ", "BGH", "SV", "CTCT", "KHTH"]
-
-COMMON_WORDS = [Rule(r"\b" + a.replace(" ", r"\s+") + r"\b", b) for a, b in MISREADINGS]
+# Abbreviations that are glued to the word behind them; other glued words, case ignored.
+GLUED = ["CTSV", "ĐRL", "CVHT", "QĐ", "BGH", "SV", "CTCT", "KHTH", "SQDB", "TTGDQP", "QK9"]
+GLUED_WORDS = [
+    (r"\b(Khoa)(tổng|thông|xét|cấp)\b", "$1 $2"), (r"\b(Phòng)(CTSV|CTCT|Đào tạo|KHTH)\b", "$1 $2"), (r"\b(PhòngCTSV)\b", "Phòng CTSV"),
+    (r"\b(đơn vị)(quản lý|đào tạo)\b", "$1 $2"), (r"\b(sinh viên)(đang|nhận|dự|có)\b", "$1 $2"),
+]
+# Addresses, telephone numbers, spacing, dashes and watermarks of scanners.
 LINKS = [
     Rule(r"([A-Za-z0-9._%+\-]+)\s*[\(\[]?\s*(?:@|Q|O|0|©|ⓐ)\s*([A-Za-z0-9.\-]+\.(?:vn|com|edu\.vn|org|net))", "$1@$2", needs=r"(?i)\.(?:vn|com|org|net)"),
     Rule(r"(https?://)\s+", "$1"),
     Rule(r"(www\.)\s+", "$1"),
     Rule(r"\s+(/[^\s]*)", "$1", False),
 ]
+PHONE = r"\b(ĐT\s*:?\s*|Điện thoại\s*:?\s*)([0-9][0-9 .\-]{7,})"
 SPACING = [
     Rule(r"\b(số|Số)(\d)", "$1 $2", False),
     Rule(r"\b(ngày)(\d{1,2})\b", "$1 $2"),
     Rule(r"([A-Za-zÀ-ỹ0-9])([“\"])", "$1 $2", False),
     Rule(r"([”\"])([A-Za-zÀ-ỹ0-9])", "$1 $2", False),
     *(Rule(rf"\b({x})(?=[A-Za-zÀ-ỹ])", "$1 ", False) for x in GLUED),
+    *(Rule(a, b) for a, b in GLUED_WORDS),
 ]
+QUESTION_DASH = r"([A-Za-zÀ-ỹ0-9\)]+(?:\s+[A-Za-zÀ-ỹ0-9\)]+){0,4})\?\s+([A-ZĐÀ-Ỹ][A-Za-zÀ-ỹ0-9]+)"
 WATERMARKS = [Rule(r"(?m)^\s*scanned\s+with\s+(cs\s*)?camscanner\s*$", ""), Rule(r"(?m)^\s*camscanner\s*$", "")]
 
 
@@ -77,26 +98,30 @@ def basic_signs(c: Column) -> Column:
     return clean_text(rx(c, r"\s+([)\]}”])", "$1"))
 
 
+def common_words(c: Column) -> Column:
+    """The frequent misreadings put right, each by its own pattern: blanks match as the pattern has them."""
+    return compile_rules(c, [Rule(a, b) for a, b in MISREADINGS])
+
+
 def phone_numbers(c: Column) -> Column:
-    """Numbers behind a telephone label without blanks: each match's blanks go one by one, from the left."""
-    blank = r"(?iU)((?:\bĐT|\bĐiện thoại)\s*:?\s*[0-9][0-9.\-]*)\s+(?=[0-9 .\-]*[0-9.\-])"
-    out = c
-    for _ in range(6):  # a number has at most so many groups
-        out = F.regexp_replace(out, blank, "$1")
-    return F.when(c.rlike(r"(?iu)ĐT|điện thoại"), out).otherwise(c)
+    """Numbers of eight characters and more behind a telephone label lose all their blanks."""
+    found = F.regexp_extract_all(c, F.lit(f"(?iU){PHONE}"), 0)
+    whole = F.transform(found, lambda m: F.concat(F.regexp_extract(m, f"(?iU)^{PHONE}", 1), F.replace(F.regexp_extract(m, f"(?iU)^{PHONE}", 2), F.lit(" "), F.lit(""))))
+    # What stands between the matches, each with the match behind it.
+    out = F.array_join(F.zip_with(F.split(c, f"(?iU){PHONE}", -1), whole, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")
+    return F.when(c.rlike(f"(?iU){PHONE}"), out).otherwise(c)
 
 
 def question_dashes(c: Column) -> Column:
     """A "?" between two noun phrases was a dash."""
-    word = "[A-Za-zÀ-ỹ0-9\\)]+"
-    c = Rule(rf"({word}(?:\s+{word}){{0,4}})\?\s+([A-ZĐÀ-Ỹ][A-Za-zÀ-ỹ0-9]+)", "$1 – $2", False, needs=r"\?").apply(c)
+    c = Rule(QUESTION_DASH, "$1 – $2", False, needs=r"\?").apply(c)
     return F.replace(c, F.lit(" ? "), F.lit(" – "))
 
 
 def common_layer(c: Column) -> Column:
     """The general layer: signs, links, telephone numbers, misreadings, spacing, dashes, signs, watermarks."""
     c = phone_numbers(compile_rules(basic_signs(c), LINKS))
-    c = clean_text(compile_rules(compile_rules(c, COMMON_WORDS), SPACING))
+    c = clean_text(compile_rules(common_words(c), SPACING))
     return clean_text(compile_rules(basic_signs(question_dashes(c)), WATERMARKS))
 
 

@@ -156,6 +156,12 @@ def better_text(first: Column, second: Column) -> Column:
     )
 
 
+def first_text(readings: Column) -> Column:
+    """The first of several readings (an array, in the order they were tried) that says something, cleaned; else ""."""
+    said = F.filter(F.transform(readings, clean_text), lambda x: x != "")
+    return F.coalesce(F.get(said, F.lit(0)), F.lit(""))
+
+
 def html_text(c: Column) -> Column:
     """The readable text of HTML: no scripts, styles, comments or tags; blocks end lines; common entities resolved."""
     c = F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")

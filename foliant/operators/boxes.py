@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from foliant.functions.plain import composed, plain_line
 from foliant.functions.text import clean_line
 
 
@@ -202,15 +203,24 @@ def in_reading_order(boxes: DataFrame, page: list[str]) -> DataFrame:
 
 
 def page_texts(boxes: DataFrame, page: list[str]) -> DataFrame:
-    """``page, text``: the text of each page from its boxes, lines by reading order."""
+    """``page, text``: the text of each page from its boxes, a line for each in the order they were recognised in.
 
-    def work(b: list[Box]) -> list[tuple]:
-        lines: dict[int, list[str]] = {}
-        for g, x in reading_order(b):
-            lines.setdefault(g, []).append(x["text"])
-        return [("\n".join(" ".join(x) for x in lines.values()),)]
+    Boxes without text give no line; boxes that were written twice give two. Pages without any are left out.
+    """
+    said = boxes.select(*page, "box_no", plain_line(composed(F.coalesce("box_text", F.lit("")))).alias("text")).where("text <> ''")
+    rows = F.array_sort(F.collect_list(F.struct("box_no", "text")))
+    return said.groupBy(*page).agg(F.array_join(F.transform(rows, lambda x: x["text"]), "\n").alias("text"))
+
+
+def clockwise(points: Column) -> Column:
+    """ARRAY of STRUCT x, y: the corners of a box from the upper left one on, of four points in any order."""
+    def pick(value: Callable[[Column], Column], least: bool) -> Column:
+        # Of equal ones the first.
+        at = F.transform(points, lambda p, i: F.struct((value(p) if least else -value(p)).alias("v"), i.alias("i")))
+        return F.get(points, F.array_min(at)["i"])
 
-    return _each_page(boxes, page, "text string", work)
+    total, difference = (lambda p: p["x"] + p["y"]), (lambda p: p["y"] - p["x"])
+    return F.array(pick(total, True), pick(difference, True), pick(total, False), pick(difference, False))
 
 
 def flattened(values: Iterator) -> Iterator[tuple[list[list[float]], str | None]]:

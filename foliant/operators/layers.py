@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.text import fold, ratio, strip
+from foliant.functions.lines import suspicious_signs
+from foliant.functions.rules import common_layer
+from foliant.functions.text import better_text, clean_line, fold, ratio, strip
 
 # Fragments that broken Vietnamese text layers show.
 NOISE = ["BQ GIAO", "Dl)C", "DAo T~o", "TRUONGD", "D~IHQ", "cANTHa", "DQc l", "H~nh", "QUYETDJNH", "Gido due", "Ludt", "a6i", "b6 sung", "vAn", "sire khoe", "ngO'01", "Di~u", "Can Clf", "thea"]
@@ -13,7 +15,7 @@ NOISE = ["BQ GIAO", "Dl)C", "DAo T~o", "TRUONGD", "D~IHQ", "cANTHa", "DQc l", "H
 MARKED = "[àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệểễìíịỉĩòóọỏõôồốộổỗơờớợởỡùúụủũưừứựửữỳýỵỷỹđÀÁẠẢÃÂẦẤẬẨẪĂẰẮẶẲẴÈÉẸẺẼÊỀẾỆỂỄÌÍỊỈĨÒÓỌỎÕÔỒỐỘỔỖƠỜỚỢỞỠÙÚỤỦŨƯỪỨỰỬỮỲÝỴỶỸĐ]"
 LETTER = "[A-Za-zÀ-ỹĐđ]"
 FREQUENT = (
-    "bo giao duc dao tao truong dai hoc can cong hoa xa hoi chu nghia viet nam doc lap tu do hanh phuc quyet dinh quy che cu luat nghi so ngay thang "
+    "bo giao duc dao tao truong dai hoc can tho cong hoa xa hoi chu nghia viet nam doc lap tu do hanh phuc quyet dinh quy che cu luat nghi so ngay thang "
     "dieu khoan diem muc chuong phu luc ban kem theo hieu phong khoa vien trung tam don vi sinh nguoi tac suc khoe ly noi dung thuc hien duoc voi ve va cua "
     "cho trong ngoai phoi hop bao cao trach nhiem quan lien thong tin thoi gian"
 ).split()
@@ -45,8 +47,9 @@ def with_report(df: DataFrame, text: str) -> DataFrame:
     inside = rf"(?i)\b{word}+\d+{word}+\b|\b{word}+\s+\d+{word}+\b"
     symbol = rf"(?i)\b{word}*{signs}+{word}+\b|\b{word}+{signs}+{word}*\b"
     # A projection between the measures and what is made of them keeps each measure to one evaluation.
+    # All tokens are folded in one pass.
     df = df.withColumn("_tokens", F.regexp_extract_all(s, F.lit("([A-Za-zÀ-ỹĐđ0-9_]+)"), 1))
-    frequent = F.array(*map(F.lit, FREQUENT))
+    df = df.withColumn("_plain", F.split(F.lower(fold(F.array_join("_tokens", " "))), " "))
     df = df.withColumns(
         {
             "_n": F.size("_tokens"),
@@ -56,7 +59,7 @@ def with_report(df: DataFrame, text: str) -> DataFrame:
             "_suspicious": count(s, inside) + count(s, symbol),
             "_mojibake": count(s, "�|Ã.|Ä.|Æ.|Ð."),
             "_glued": count(s, r"\b[A-ZĐ]{10,}\b"),
-            "_common": F.size(F.filter("_tokens", lambda x: F.array_contains(frequent, F.lower(fold(x))))),
+            "_common": F.size(F.filter("_plain", lambda x: x.isin(FREQUENT))),
             "_long": F.size(F.filter("_tokens", lambda x: F.length(x) >= 22)),
         }
     )
@@ -112,12 +115,30 @@ def with_report(df: DataFrame, text: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names), report.alias("report"))
 
 
-def dropped_layer(df: DataFrame, text: str, image_ratio: str, min_chars: int = 30, force: bool = False) -> DataFrame:
-    """Adds ``report`` and ``drop_layer``: forced, too short, bad, or an image of most of the page over a weak layer."""
-    df = with_report(df, text)
-    weak = (F.col("report.score") >= 2) | (F.coalesce("report.mark_ratio", F.lit(0.0)) < 0.02)
-    scan = (F.coalesce(F.col(image_ratio), F.lit(0.0)) >= 0.55) & weak
-    return df.withColumn("drop_layer", F.lit(force) | (F.col("report.length") < min_chars) | F.col("report.is_bad") | scan)
+def dropped_layer(df: DataFrame, text: str, image_ratio: str, largest_image: str | None = None, min_chars: int = 30, force: bool = False, judge: bool = True) -> DataFrame:
+    """Adds ``report`` and ``drop_layer``: is the text layer to be left out, and the page read from its image?
+
+    Forced layers are; too short ones are not, for they are no bad layers (reason text_too_short). Otherwise bad ones
+    are, and the weak layers of pages that look like scans: images of most of the page, some frequent words, few
+    marks and signs of noise; ``report`` then says that they are bad and why. ``judge`` off keeps all layers.
+    ``image_ratio`` is the share of the page under images, ``largest_image`` that under the largest one, where known.
+    """
+    names = [c for c in df.columns if c not in ("report", "drop_layer")]
+    df = with_report(df.select(*(F.col(f"`{c}`") for c in names)), text)
+    none = F.lit(0.0)
+    largest = F.coalesce(F.col(largest_image), none) if largest_image else none
+    scan = (largest >= 0.55) | (F.coalesce(F.col(image_ratio), none) >= 0.70)
+    r = F.col("report")
+    doubtful = (r["score"] >= 2) | (F.coalesce(r["suspicious_token_ratio"], none) >= 0.02)
+    weak = scan & (F.coalesce(r["common_ratio"], none) >= 0.10) & (F.coalesce(r["mark_ratio"], none) < 0.04) & doubtful
+    short = r["length"] < min_chars
+    added = F.when(~short & ~r["is_bad"] & weak & F.lit(judge), F.concat(r["reason"], F.lit(",scan_page_with_weak_text_layer")))
+    reason = F.when(short, "text_too_short").otherwise(F.coalesce(added, r["reason"]))
+    if force:
+        reason = F.lit("force_ocr")
+    drop = F.lit(force) | (~short & F.lit(judge) & (r["is_bad"] | weak))
+    report = r.withField("is_bad", r["is_bad"] | added.isNotNull()).withField("reason", reason)
+    return df.select(*(F.col(f"`{c}`") for c in names), report.alias("report"), drop.alias("drop_layer"))
 
 
 def documents_to_recognise(df: DataFrame, document: str, bad: str, length: Column) -> DataFrame:
@@ -139,3 +160,11 @@ def has_text(df: DataFrame, document: str, page: str, text: str, least: int = 80
     """``document, has_text``: have the first pages a text layer of ``least`` characters?"""
     chars = F.sum(F.when(F.col(page) <= pages, F.length(strip(F.coalesce(F.col(text), F.lit(""))))).otherwise(0))
     return df.groupBy(document).agg((chars >= least).alias("has_text"))
+
+
+def crop_text(first: Column, second: Column, check: bool = True) -> Column:
+    """The text of a crop from two recognisers: the first one's, unless it says nothing or, with ``check``, has signs
+    the second one may read better. The general rules are applied to what is taken as it is."""
+    own, other = common_layer(first), common_layer(second)
+    doubtful = suspicious_signs(clean_line(own)) & F.lit(check)
+    return F.when(F.coalesce(first, F.lit("")) == "", other).when(doubtful, better_text(own, F.coalesce(second, F.lit("")))).otherwise(own)

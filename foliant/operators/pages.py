@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliant.functions.lines import Line, is_item, is_structural, starts
 from foliant.functions import lines as P
-from foliant.functions.text import clean_line, clean_text, edge_key, layout_key, match_key, trim_rules
+from foliant.functions.text import clean_line, clean_text, edge_key, layout_key, match_key, strip, trim_rules
 
 
 def lines_of(df: DataFrame, keys: list[str], text: str, number: str = "line_no", line: str = "line") -> DataFrame:
@@ -56,10 +57,15 @@ def without_repeated(lines: DataFrame, repeated: DataFrame, document: str, line:
     return keyed.join(keys, (F.col(document) == F.col("_d")) & (F.col("_key") == F.col("_k")), "left_anti").drop("_key")
 
 
-def page_metrics(pages: DataFrame, document: str, text: str, method: str) -> DataFrame:
-    """Of each document: pages, characters of their cleaned texts, pages from a text layer and from recognition."""
+def page_metrics(pages: DataFrame, document: str, text: str, method: str, tables: str | None = None) -> DataFrame:
+    """Of each document: pages, characters of their cleaned texts, pages from a text layer and from recognition.
+
+    With ``tables``, a column with the number of tables on a page, their sum as ``n_tables``.
+    """
     chars = F.length(clean_text(F.col(text)))
+    more = [F.coalesce(F.sum(tables), F.lit(0)).alias("n_tables")] if tables else []
     return pages.groupBy(document).agg(
+        *more,
         F.count("*").alias("total_pages"),
         F.sum(chars).alias("total_characters"),
         F.count_if(F.col(method) == "pymupdf_text").alias("text_pages"),
@@ -81,34 +87,118 @@ def bulleted(lines: DataFrame, keys: list[str], number: str = "line_no", line: s
     return rows.select(*keys, number, new.alias(line))
 
 
-def merged(df: DataFrame, key: str, text: str, eager: bool = False) -> DataFrame:
-    """``key, text``: texts with broken lines joined; null and empty texts give "".
+def _lines_in(text: Column) -> Column:
+    """The cleaned lines of a text that aren't blank, as an array."""
+    return F.filter(F.transform(F.split(text, "\r\n|\n|\r"), clean_line), lambda c: c != "")
+
+
+def _bulleted_in(numbered: Column) -> Column:
+    """``bulleted`` over an array of structs c, i, opens."""
+    first = F.array_min(F.transform(numbered, lambda x: F.when(x["opens"], x["i"])))
+    # Repeated beside the lines, the first opening line is looked for once and not per line.
+    below = lambda x, at: (x["i"] > at) & ~x["opens"] & starts(x["c"], P.BULLETED) & ~is_item(x["c"])
+    return F.zip_with(numbered, F.array_repeat(first, F.size(numbered)), lambda x, at: F.when(below(x, at), F.concat(F.lit("- "), x["c"])).otherwise(x["c"]))
+
+
+def _analysed_in(lines: Column) -> Column:
+    """Cleaned lines with what ``analysed`` gives them, as an array of structs: c, m, key, content_key, level.
+
+    Each step is a pass of its own over the array, so nothing is computed twice.
+    """
+    x = F.transform(lines, lambda c: F.struct(c.alias("c"), P.marker(c).alias("m"), match_key(c).alias("key")))
+    content = lambda x: F.when(x["m"]["kind"].isNull(), x["key"]).otherwise(match_key(x["m"]["content"]))
+    x = F.transform(x, lambda x: F.struct(x["c"].alias("c"), x["m"].alias("m"), x["key"].alias("key"), content(x).alias("content_key")))
+    return F.transform(x, lambda x: F.struct(x["c"].alias("c"), x["m"].alias("m"), x["key"].alias("key"), x["content_key"].alias("content_key"), P.marker_level(_view(x)).alias("level")))
+
+
+def _view(x: Column) -> Line:
+    return Line(x["c"], x["m"], x["key"], x["content_key"])
 
-    What depends on a line alone is computed on the exploded lines. The fold over a text's lines, which come
-    together by key, tests only what stands before: it may be several lines already. ``key`` is unique.
+
+def folded(lines: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """How each line stands to those before it: a character per line, as ``step(state, line)`` gives it with the new state.
+
+    The state is a struct of a bounded size and never the text, so that a text of many lines takes linear time.
+    """
+    def one(acc: Column, x: Column) -> Column:
+        flag, state = step(acc["s"], x)
+        return F.struct(F.concat(acc["flags"], flag).alias("flags"), state.alias("s"))
+
+    return F.aggregate(lines, F.struct(F.lit("").alias("flags"), start.alias("s")), one, lambda acc: acc["flags"])
+
+
+def unfolded(lines: Column, flags: Column, line: str = "c", glue: dict[str, str] | None = None) -> Column:
+    """The lines as one text: each behind its flag's glue, by default a blank for 1 and a line end for all others."""
+    between = lambda f: F.coalesce(*(F.when(f == k, v) for k, v in (glue or {"1": " "}).items()), F.lit("\n"))
+    return F.array_join(F.zip_with(lines, F.split(flags, ""), lambda x, f: F.concat(between(f), x[line])), "")
+
+
+def _no(x: Column) -> Column:
+    return F.coalesce(x, F.lit(False))
+
+
+def with_merged(df: DataFrame, text: str, to: str, eager: bool = False) -> DataFrame:
+    """Adds ``to``: the text with broken lines joined; null and empty texts give "".
+
+    All of it is passes over the text's own lines: no row leaves its task. Of what stands before a line the fold
+    keeps its length, whether it is upper case, has letters, and how it ends.
     """
-    rows = bulleted(lines_of(df, [key], text), [key])
-    table, view = analysed(rows)
-    parts = table.select(key, F.struct("line_no", "line", (is_structural(view, F.col("_level")) | is_item(view.c)).alias("apart"), P.goes_on(view.c).alias("goes")).alias("x"))
-    kind = T.ArrayType(T.StringType())
-
-    def step(done: Column, x: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        joined = ~x["apart"] & (F.size(done) > 0) & F.coalesce(P.joins_after(last, x["line"], x["goes"], eager), F.lit(False))
-        return F.when(joined, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.concat(F.rtrim(last), F.lit(" "), F.ltrim(x["line"]))))).otherwise(F.concat(done, F.array(x["line"])))
-
-    folded = parts.groupBy(key).agg(F.array_sort(F.collect_list("x")).alias("_x")).select(key, F.array_join(F.aggregate("_x", F.array().cast(kind), step), "\n").alias("_t"))
-    out = F.regexp_replace("_t", r"(?iU)(các tiêu chí sau đây)\s+-\s+", "$1:\n- ")
+    lines = F.transform(_lines_in(F.coalesce(F.col(text), F.lit(""))), lambda c, i: F.struct(c.alias("c"), i.alias("i"), opens_list(c).alias("opens")))
+    df = df.withColumn("_x", lines)
+    goes = lambda c: P.goes_on(c) | ~starts(c, P.SIGNATURES) if eager else P.goes_on(c)
+    # A projection of its own: the lines are read by the fold and by what puts them together.
+    df = df.withColumn(
+        "_x",
+        F.transform(
+            _analysed_in(_bulleted_in(F.col("_x"))),
+            lambda x: F.struct(
+                x["c"].alias("c"),
+                F.length(x["c"]).alias("n"),
+                _no(is_structural(_view(x), x["level"]) | is_item(x["c"])).alias("apart"),
+                _no(goes(x["c"])).alias("goes"),
+                P.ends_open(x["c"]).alias("open"),
+                x["c"].rlike(r"[.;:!?]$").alias("stop"),
+                (F.upper(x["c"]) == x["c"]).alias("upper"),
+                x["c"].rlike(r"\p{L}").alias("letter"),
+            ),
+        ),
+    )
+
+    def step(s: Column, x: Column) -> tuple[Column, Column]:
+        shouted = (s["n"] > 8) & s["letter"] & s["upper"]
+        join = ~x["apart"] & ~s["stop"] & ~shouted & (s["open"] | x["goes"])
+        state = F.struct(
+            F.when(join, s["n"] + 1 + x["n"]).otherwise(x["n"]).alias("n"),
+            (x["upper"] & (~join | s["upper"])).alias("upper"),
+            (x["letter"] | (join & s["letter"])).alias("letter"),
+            x["open"].alias("open"),
+            x["stop"].alias("stop"),
+        )
+        return F.when(join, "1").otherwise("0"), state
+
+    nothing = F.struct(F.lit(0).alias("n"), F.lit(False).alias("upper"), F.lit(False).alias("letter"), F.lit(False).alias("open"), F.lit(True).alias("stop"))
+    out = unfolded(F.col("_x"), folded(F.col("_x"), nothing, step))
+    out = F.regexp_replace(out, r"(?iU)(các tiêu chí sau đây)\s+-\s+", "$1:\n- ")
     out = F.replace(out, F.lit("Trân trọng cảm ơn./ Nơi nhận:"), F.lit("Trân trọng cảm ơn./.\nNơi nhận:"))
-    return df.select(key).join(folded.select(key, clean_text(out).alias("text")), key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+    return df.withColumn(to, clean_text(out)).drop("_x")
+
+
+def with_markdown(df: DataFrame, text: str, to: str, eager: bool = False) -> DataFrame:
+    """Adds ``to``: the text as light Markdown: lines joined, headings marked, paragraphs apart."""
+    df = with_merged(df, text, to, eager)
+    return df.withColumn(to, F.array_join(F.transform(_analysed_in(_lines_in(F.col(to))), lambda x: P.markdown_line(_view(x), x["level"])), "\n\n"))
+
+
+def merged(df: DataFrame, key: str, text: str, eager: bool = False) -> DataFrame:
+    """``key, text``: the texts with broken lines joined, a row for each row, also where keys repeat."""
+    rows = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
+    return with_merged(rows, "_t", "text", eager).select(F.col("_k").alias(key), "text")
 
 
 def markdown(df: DataFrame, key: str, text: str, eager: bool = False) -> DataFrame:
-    """``key, text``: the texts as light Markdown: lines joined, headings marked, paragraphs apart."""
-    rows, view = analysed(lines_of(merged(df, key, text, eager), [key], "text"))
-    rows = rows.where("_c <> ''").select(key, F.struct("line_no", P.markdown_line(view, F.col("_level")).alias("line")).alias("x"))
-    out = rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n\n").alias("text"))
-    return df.select(key).join(out, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+    """``key, text``: the texts as light Markdown, a row for each row, also where keys repeat."""
+    rows = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
+    return with_markdown(rows, "_t", "text", eager).select(F.col("_k").alias(key), "text")
 
 
 # --- layout signals and routing -----------------------------------------------------------------------------
@@ -165,6 +255,30 @@ def classified(signals: DataFrame) -> DataFrame:
     return signals.withColumns({"likely_table": table, "likely_form": ~table & form})
 
 
+def layout_reasons(signals: DataFrame) -> DataFrame:
+    """Adds ``layout_reasons``: what a page's drawn and scanned lines say for a table or a form, as an array."""
+    c = lambda name: F.coalesce(F.col(name), F.lit(0))
+    score = lambda name, column: F.when(c(column) >= 0.45, F.format_string(f"{name}:%.2f", c(column).cast("double")))
+    reasons = F.array(
+        F.when(c("vector_line_count") >= 20, F.concat(F.lit("many_vector_lines:"), F.col("vector_line_count"))),
+        score("raster_table_score", "raster_line_score"),
+        score("raster_form_score", "raster_form_score"),
+        F.when((c("raster_horizontal_lines") != 0) | (c("raster_vertical_lines") != 0), F.concat(F.lit("raster_lines:h"), c("raster_horizontal_lines"), F.lit("/v"), c("raster_vertical_lines"))),
+    )
+    return signals.withColumn("layout_reasons", F.array_compact(reasons))
+
+
+def raster_scores(horizontal: Column, vertical: Column) -> Column:
+    """STRUCT table_score, form_score of a page from how many long lines its image has in each direction."""
+    part = lambda n, of, most: F.least(n / of, F.lit(1.0)) * most
+    capped = lambda n, of, most: F.least(n / of, F.lit(most))
+    both = (horizontal >= 4) & (vertical >= 3)
+    table = F.when(both, part(horizontal, 18.0, 0.45) + part(vertical, 12.0, 0.55)).otherwise(capped(horizontal, 30.0, 0.25) + capped(vertical, 20.0, 0.20))
+    form = capped(horizontal, 18.0, 1.0)
+    form = F.when(horizontal < 6, 0.0).when(vertical >= 3, F.least(form + 0.15, F.lit(1.0))).otherwise(form)
+    return F.struct(table.alias("table_score"), form.alias("form_score"))
+
+
 def continues_table(likely_table: str = "likely_table") -> Column:
     c = lambda name: F.coalesce(F.col(name), F.lit(0))
     return (
@@ -218,6 +332,25 @@ def clamped(df: DataFrame, document: str, page: str, first: int = 0, last: int =
     return df.withColumn("_lo", lo).withColumn("_hi", F.greatest(lo, hi)).where(F.col(page).between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
+def page_indices(total: Column, first: Column, last: Column) -> Column:
+    """The indices (from 0) of the pages first..last (from 1, null or 0: open). The end is kept within the document and
+    the start isn't: one beyond the end gives its own index."""
+    lo = F.greatest(F.lit(1), F.coalesce(F.nullif(first, F.lit(0)), F.lit(1)))
+    hi = F.greatest(lo, F.least(F.coalesce(F.nullif(last, F.lit(0)), total), total))
+    return F.sequence(lo - 1, hi - 1)
+
+
+def target_pages(first: int | None, last: int | None) -> str | None:
+    """The pages of a request to a parser: "4-8", "4", or None for all. Pages count from 1."""
+    if first is None and last is None:
+        return None
+    lo = first or 1
+    hi = last or lo
+    if lo < 1 or hi < lo:
+        raise ValueError(f"no range of pages: {first}-{last}")
+    return str(lo) if lo == hi else f"{lo}-{hi}"
+
+
 def routed(pages: DataFrame, special: DataFrame, document: str, page: str) -> DataFrame:
     """``document, page, route``: cloud for the pages in ``special``, local for all others."""
     marks = special.select(document, page).distinct().withColumn("_s", F.lit(True))
@@ -270,6 +403,28 @@ def assembled(blocks: DataFrame, pages: DataFrame, document: str, placeholder: s
     return every.groupBy(document).agg(F.array_join(F.transform(ordered, lambda x: x["block"]), rule).alias("body"))
 
 
+def merged_blocks(*written: DataFrame, document: str) -> DataFrame:
+    """``document, page_no, block`` of all inputs; of a page that several have, the block of the last input with it."""
+    every = None
+    for n, blocks in enumerate(written):
+        rows = blocks.select(document, "page_no", "block", F.lit(n).alias("_n"))
+        every = rows if every is None else every.unionByName(rows)
+    return every.groupBy(document, "page_no").agg(F.max_by("block", "_n").alias("block"))
+
+
+def marked_pages(pages: DataFrame, document: str, page: str, text: str, ordinal: str) -> DataFrame:
+    """``document, body``: a parser's pages joined, each behind a comment with its number; unnumbered ones by ``ordinal``."""
+    rows = pages.select(document, F.col(ordinal).alias("_o"), F.coalesce(F.nullif(F.col(page), F.lit(0)), F.col(ordinal)).alias("_p"), strip(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
+    block = strip(F.concat(F.lit("<!-- page: "), F.col("_p"), F.lit(" -->\n\n"), F.col("_t")))
+    listed = F.array_sort(F.collect_list(F.struct("_o", block.alias("b"))))
+    return rows.groupBy(document).agg(F.concat(F.array_join(F.transform(listed, lambda x: x["b"]), "\n\n"), F.lit("\n")).alias("body"))
+
+
+def documents(headers: DataFrame, bodies: DataFrame, document: str) -> DataFrame:
+    """``document, markdown``: heads (``header``) and bodies (``body``) as whole documents; one without a body is its head."""
+    return headers.join(bodies, document, "left").select(document, F.concat(F.col("header"), F.lit("\n"), F.coalesce("body", F.lit(""))).alias("markdown"))
+
+
 def document_header(source: Column, fields: dict[str, Column]) -> Column:
     """The head of a Markdown document: a bullet per field that isn't null."""
     items = F.array_compact(F.array(*(F.concat(F.lit(f"- {name}: "), c.cast("string")) for name, c in fields.items())))
@@ -282,5 +437,5 @@ def blocks_of_pages(df: DataFrame, key: str, page: str, text: str, method: str,
     long = F.length(clean_text(F.col(text))) >= min_chars
     route = F.coalesce(F.col(method), F.when(long, "pymupdf_text").otherwise("ocr_pdf_scan"))
     head = F.concat(F.lit("## Trang "), F.col(page), F.lit("\n\n<!-- page: "), F.col(page), F.lit(" -->\n\n<!-- extraction: "), route, F.lit(" -->\n\n"))
-    body = markdown(df, key, text)
-    return df.select(key, head.alias("_head")).join(body, key).select(key, F.concat("_head", "text", F.lit("\n\n---")).alias("block"))
+    rows = df.select(F.col(key).alias("_k"), head.alias("_head"), F.col(text).alias("_t"))
+    return with_markdown(rows, "_t", "_md").select(F.col("_k").alias(key), F.concat("_head", "_md", F.lit("\n\n---")).alias("block"))

@@ -53,3 +53,14 @@ def number_warnings(df: DataFrame, document: str, text: str) -> DataFrame:
 def distinct_warnings(warnings: DataFrame, document: str) -> DataFrame:
     """Every message of a document once, with the first line that gave it."""
     return warnings.groupBy(document, "rule", "message").agg(F.min("line_no").alias("line_no"))
+
+
+def review_reports(warnings: DataFrame, document: str, source: str) -> DataFrame:
+    """``document, report``: the review report of each document with warnings; those without have none.
+
+    ``source`` is the column with the document's file. Warnings stand in the order of their lines.
+    """
+    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("line_no", F.lit(2**31 - 1)).alias("n"), "rule", "message")))
+    # The words of the report.
+    head = F.concat(F.lit("# OCR Review Report\n\nFile gốc: "), F.coalesce(F.first(source), F.lit("")), F.lit("\n\n## Dòng/cụm cần kiểm tra\n- "))
+    return warnings.groupBy(document).agg(F.concat(head, F.array_join(F.transform(listed, lambda x: x["message"]), "\n- ")).alias("report"))

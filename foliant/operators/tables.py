@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.lines import is_watermark
-from foliant.functions.text import clean_line, form_layout, match_key, rx, strip, title_key, title_text
+from foliant.functions.text import clean_line, clean_text, form_layout, match_key, rx, strip, title_key, title_text
+from foliant.operators.pages import folded, lines_of
 
 SEPARATOR = r"^\s*\|?\s*:?-{2,}:?\s*(\|\s*:?-{1,}:?\s*)+\|?\s*$"
 ROW = r"^\s*\|.*\|\s*$"
@@ -149,28 +150,54 @@ def without_title(cell: Column, key: Column) -> Column:
     return F.when((F.size(parts) > 1) & (title_key(F.get(parts, F.lit(0))) == key) & (rest != ""), rest).otherwise(strip(cell))
 
 
+def _by_text(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _l``: the lines of each text, which come together by key, in their order."""
+    return lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_l")).select(*keys, F.transform("_l", lambda x: x["line"]).alias("_l"))
+
+
 def titles_hoisted(lines: DataFrame, keys: list[str], lookback: int = 6) -> DataFrame:
-    """A title repeated in the cells of a header becomes a heading above the table, if it isn't there already."""
-    w = _order(keys)
-    head = F.contains("line", F.lit("|")) & F.coalesce(is_separator(F.lead("line").over(w)), F.lit(False))
-    marked = lines.withColumn("_t", F.when(head, repeated_title(cells(F.col("line"), stars=True))))
-    # The last lines that say something, before each line.
-    said = F.when((strip(F.col("line")) != "") & ~strip(F.col("line")).startswith("<!--"), title_key(F.col("line")))
-    marked = marked.withColumn("_said", F.filter(F.collect_list(F.coalesce(said, F.lit(""))).over(w.rowsBetween(-60, -1)), lambda x: x != ""))
-    recent = F.slice("_said", F.greatest(F.size("_said") - lookback + 1, F.lit(1)), F.lit(lookback))
-    known = F.exists(recent, lambda x: F.contains(x, F.col("_t.key")))
-    new = F.concat(F.lit("| "), F.array_join(F.transform(cells(F.col("line"), stars=True), lambda c: F.when(without_title(c, F.col("_t.key")) == "", " ").otherwise(without_title(c, F.col("_t.key")))), " | "), F.lit(" |"))
-    blank_before = F.coalesce(strip(F.lag("line").over(w)), F.lit("")) == ""
-    heading = F.concat(F.lit("## "), F.col("_t.text"))
-    marked = marked.withColumn("_b", blank_before)
-    out = (
-        F.when(F.col("_t").isNull(), F.array("line"))
-        .when(known, F.array(new))
-        .when(F.col("_b"), F.array(heading, F.lit(""), new))
-        .otherwise(F.array(F.lit(""), heading, F.lit(""), new))
-    )
-    exploded = marked.select(*keys, "line_no", F.posexplode(out).alias("_sub", "line"))
-    return exploded.withColumn("line_no", F.row_number().over(_order(keys, "line_no", "_sub"))).drop("_sub")
+    """A title repeated in the cells of a header becomes a heading above the table.
+
+    Not if one of the last ``lookback`` lines of the result that say something has it already: headings that were put
+    in and headers without their title count there. So the lines are folded, with these lines' keys as the state.
+    """
+    df = _by_text(lines, keys)
+    blank = lambda c: strip(c) == ""
+
+    def seen(c: Column, i: Column) -> Column:
+        head = F.contains(c, F.lit("|")) & F.coalesce(is_separator(F.get("_l", i + 1)), F.lit(False))
+        said = F.when(~blank(c) & ~strip(c).startswith("<!--"), title_key(c))
+        return F.struct(c.alias("c"), said.alias("said"), F.when(head, repeated_title(cells(c, stars=True))).alias("t"), F.coalesce(blank(F.get("_l", i - 1)), F.lit(True)).alias("after_blank"))
+
+    def bare(x: Column) -> Column:
+        return F.transform(cells(x["c"], stars=True), lambda c: without_title(c, x["t"]["key"]))
+
+    def with_new(x: Column) -> Column:
+        new = F.concat(F.lit("| "), F.array_join(F.transform(bare(x), lambda c: F.when(c == "", " ").otherwise(c)), " | "), F.lit(" |"))
+        return F.struct(x["c"].alias("c"), F.when(x["t"].isNull(), x["said"]).otherwise(title_key(new)).alias("said"), x["t"].alias("t"), x["after_blank"].alias("after_blank"), new.alias("new"))
+
+    df = df.withColumn("_x", F.transform(F.transform("_l", seen), with_new))
+
+    def step(recent: Column, x: Column) -> tuple[Column, Column]:
+        known = F.exists(recent, lambda k: F.contains(k, x["t"]["key"]))
+        heading = x["t"].isNotNull() & ~F.coalesce(known, F.lit(False))
+        more = F.concat(recent, F.when(heading, F.array(x["t"]["key"])).otherwise(F.array().cast("array<string>")), F.when(x["said"].isNull(), F.array().cast("array<string>")).otherwise(F.array(x["said"])))
+        flag = F.when(x["t"].isNull(), "0").when(heading, "2").otherwise("1")
+        return flag, F.struct(F.slice(more, F.greatest(F.size(more) - lookback + 1, F.lit(1)), F.lit(lookback)).alias("k"))
+
+    flags = folded(F.col("_x"), F.struct(F.array().cast("array<string>").alias("k")), lambda s, x: step(s["k"], x))
+
+    def written(x: Column, f: Column) -> Column:
+        heading = F.concat(F.lit("## "), x["t"]["text"])
+        return (
+            F.when(f == "0", F.array(x["c"]))
+            .when(f == "1", F.array(x["new"]))
+            .when(x["after_blank"], F.array(heading, F.lit(""), x["new"]))
+            .otherwise(F.array(F.lit(""), heading, F.lit(""), x["new"]))
+        )
+
+    out = F.flatten(F.filter(F.zip_with("_x", F.split(flags, ""), lambda x, f: F.when(x.isNotNull(), written(x, f))), lambda a: a.isNotNull()))
+    return df.select(*keys, F.posexplode(out).alias("_n", "line")).select(*keys, (F.col("_n") + 1).alias("line_no"), "line")
 
 
 def false_tables(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -275,9 +302,34 @@ def headings_marked(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def finished(lines: DataFrame, document: str, page: str) -> DataFrame:
-    """The last repairs, in their order: watermarks, forms, data rows as headers, columns, continued tables."""
+    """The lines after the last repairs, in their order: watermarks, forms, data rows as headers, columns, continued tables."""
     keys = [document, page]
     lines = without_watermarks(lines)
     formed = lines.select(*keys, "line_no", F.posexplode(F.split(form_layout(F.col("line")), "\n")).alias("_sub", "line"))
     lines = formed.withColumn("line_no", F.row_number().over(_order(keys, "line_no", "_sub"))).drop("_sub")
     return tables_continued(columns_evened(data_headers_repaired(lines, keys), keys), document, page)
+
+
+def finished_texts(lines: DataFrame, document: str, page: str) -> DataFrame:
+    """``document, text``: the documents after the last repairs (``finished``) as clean texts with a line end."""
+    rows = finished(lines, document, page).groupBy(document).agg(F.array_sort(F.collect_list(F.struct(page, "line_no", "line"))).alias("_l"))
+    text = F.array_join(F.transform("_l", lambda x: x["line"]), "\n")
+    return rows.select(document, F.concat(clean_text(F.regexp_replace(text, "\n{4,}", "\n\n\n")), F.lit("\n")).alias("text"))
+
+
+def normalised_markdown(df: DataFrame, key: str, text: str, flatten: bool = True) -> DataFrame:
+    """``key, text``: a parser's Markdown made like our own, in this order: titles out of headers, false tables flat
+    (with ``flatten``), blanks single outside of tables, headings marked, blank lines single, the last repairs.
+
+    Null texts are left out; keys are unique. The text's own page headings are its pages.
+    """
+    lines = titles_hoisted(lines_of(df, [key], text), [key])
+    if flatten:
+        lines = false_tables_flat(lines, [key])
+    spaced = F.when(F.col("line").rlike(r"(?U)^\s*\|?.+\|"), rx(F.col("line"), r"\s+$")).otherwise(strip(F.regexp_replace("line", "[ \t]+", " ")))
+    lines = headings_marked(lines.withColumn("line", spaced), [key])
+    # A blank line behind a blank line goes.
+    w = _order([key])
+    lines = lines.withColumn("_b", (F.col("line") == "") & (F.coalesce(F.lag("line").over(w), F.lit("x")) == "")).where("NOT _b").drop("_b")
+    page = F.count_if(F.col("line").rlike(r"^## Trang +\d+[ \t\r]*$")).over(w)
+    return finished_texts(lines.withColumn("_page", page), key, "_page")

@@ -32,12 +32,13 @@ def a06_layer_reports(spark, d):
 
 
 def p24_dropped_layers(spark, d):
-    return layers.dropped_layer(_raw(spark, d).select("page_id", "raw_text", "image_ratio"), "raw_text", "image_ratio").select("page_id", "report.score", "report.reason", "drop_layer")
+    return layers.dropped_layer(_raw(spark, d).select("page_id", "raw_text", "image_ratio"), "raw_text", "image_ratio", "image_ratio").select("page_id", "report.score", "report.reason", "drop_layer")
 
 
 def a03_documents_to_recognise(spark, d):
-    rows = layers.with_report(_raw(spark, d).select("version_id", "raw_text"), "raw_text").select("version_id", F.col("report.is_bad").alias("is_bad"), F.col("report.length").alias("length"))
-    return layers.documents_to_recognise(rows, "version_id", "is_bad", F.col("length"))
+    """A page counts as bad if its layer is dropped."""
+    rows = layers.dropped_layer(_raw(spark, d).select("version_id", "raw_text", "image_ratio"), "raw_text", "image_ratio", "image_ratio").select("version_id", "drop_layer", F.col("report.length").alias("length"))
+    return layers.documents_to_recognise(rows, "version_id", "drop_layer", F.col("length"))
 
 
 def p26_table_heavy(spark, d):

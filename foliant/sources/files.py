@@ -85,6 +85,32 @@ def output_name(source: Column) -> Column:
     return F.concat(safe_stem(stem), F.lit("_structured.md"))
 
 
+def plain_output_name(source: Column) -> Column:
+    """The same without making the name safe."""
+    return F.concat(F.regexp_replace(F.regexp_extract(source, r"([^/\\]*)$", 1), r"(?<=.)\.[^.]*$", ""), F.lit("_structured.md"))
+
+
+def is_markdown_path(path: Column) -> Column:
+    """Does the output path name one Markdown file, rather than a folder?"""
+    return extension(path) == ".md"
+
+
+def output_path(source: Column, output: Column) -> Column:
+    return F.when(is_markdown_path(output), output).otherwise(F.concat(F.regexp_replace(output, "/+$", ""), F.lit("/"), output_name(source)))
+
+
+def needs_cloud(path: Column, has_text: Column, table_heavy: Column) -> Column:
+    """Is a file parsed in the cloud? Images and office files are, and PDFs without a text layer or full of tables."""
+    kind = extension(path)
+    pdf = ~F.coalesce(has_text, F.lit(False)) | F.coalesce(table_heavy, F.lit(False))
+    return F.when(kind.isin([k for k in LOCAL if k != ".pdf"] + CLOUD), True).when(kind == ".pdf", pdf).otherwise(False)
+
+
+def by_pages(path: Column, engine: Column, engines: Iterable[str] = ("auto-page", "cloud", "local")) -> Column:
+    """Are a file's pages routed one by one? PDFs are, with one of the engines that can."""
+    return (extension(path) == ".pdf") & engine.isin(list(engines))
+
+
 def not_yet_written(df: DataFrame, key: str, spark: SparkSession, path: str, force: bool = False) -> DataFrame:
     """The rows whose key isn't in the Parquet output at ``path``; all of them if it isn't there or with ``force``."""
     if force or not exists(spark, path):
