@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.functions.lines import Line, is_item, is_structural, starts
 from foliant.functions import lines as P
@@ -255,10 +257,16 @@ def classified(signals: DataFrame) -> DataFrame:
     return signals.withColumns({"likely_table": table, "likely_form": ~table & form})
 
 
+@F.arrow_udf(T.StringType())
+def _two_places(values: pa.Array) -> pa.Array:
+    """Rounded as the binary number is; the JVM rounds its shortest decimal form, which differs at halves."""
+    return pa.array([None if v is None else f"{v:.2f}" for v in values.to_pylist()], pa.string())
+
+
 def layout_reasons(signals: DataFrame) -> DataFrame:
     """Adds ``layout_reasons``: what a page's drawn and scanned lines say for a table or a form, as an array."""
     c = lambda name: F.coalesce(F.col(name), F.lit(0))
-    score = lambda name, column: F.when(c(column) >= 0.45, F.format_string(f"{name}:%.2f", c(column).cast("double")))
+    score = lambda name, column: F.when(c(column) >= 0.45, F.concat(F.lit(f"{name}:"), _two_places(c(column).cast("double"))))
     reasons = F.array(
         F.when(c("vector_line_count") >= 20, F.concat(F.lit("many_vector_lines:"), F.col("vector_line_count"))),
         score("raster_table_score", "raster_line_score"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliant.operators import chunks, pages
+from foliant.operators import chunks, pages, review
 from foliant.plans import sql
 from foliant.session import table
 from foliant.sources import files
@@ -67,7 +67,53 @@ def g02_missing_fields(spark, d):
     return chunks.missing_fields(table(spark, d, "doc_meta"), "meta_id", REQUIRED).select("meta_id", F.array_join("missing", ",").alias("missing"))
 
 
-QUERIES = {f.__name__: f for f in (w12_page_blocks, o07_assembled, j05_expected_blocks, k02_headers, k07_output_names, g09_heading_chunks, g10_embedding_texts, g12_repeated_versions, g02_missing_fields)}
+def j09_merged_blocks(spark, d):
+    """The blocks of each version's extracts, later extracts over earlier ones."""
+    docs = _docs(spark, d).where("version_id IS NOT NULL")
+    ends = docs.groupBy("version_id").agg(F.min("extract_id").alias("first"), F.max("extract_id").alias("last"))
+    found = pages.page_blocks(docs, "extract_id", "extracted_text")
+    of = lambda which: ends.select("version_id", F.col(which).alias("extract_id")).join(found, "extract_id")
+    return pages.merged_blocks(of("first"), of("last"), document="version_id").select("version_id", F.col("page_no").cast("bigint").alias("page_no"), "block")
+
+
+def k01_documents(spark, d):
+    """Whole documents: head and body."""
+    return pages.documents(k02_headers(spark, d), _docs(spark, d).select("extract_id", F.concat(F.lit("\n"), F.col("extracted_text")).alias("body")), "extract_id")
+
+
+def k06_review_reports(spark, d):
+    docs = _docs(spark, d)
+    lines = pages.lines_of(docs, ["extract_id"], "extracted_text")
+    found = review.distinct_warnings(review.line_warnings(lines, "extract_id").unionByName(review.number_warnings(docs, "extract_id", "extracted_text")), "extract_id")
+    return review.review_reports(found.join(docs.select("extract_id", "source_name"), "extract_id"), "extract_id", "source_name")
+
+
+def r04_term_warnings(spark, d):
+    """Review warnings about terms next to words without their marks."""
+    lines = pages.lines_of(_docs(spark, d), ["extract_id"], "extracted_text")
+    out = review.line_warnings(lines, "extract_id", terms=TERMS).where("rule = 'term_unmarked'")
+    return out.select("extract_id", F.col("line_no").cast("bigint").alias("line_no"), "rule", "message")
+
+
+TERMS = ["Phòng Đào tạo", "Sinh viên", "Quyết định", "Thông báo", "Quy định"]
+
+
+def k09_routed_files(spark, d):
+    """Of each file: its kind, its output's names, and whether it is parsed in the cloud and its pages routed."""
+    source = F.coalesce("source_name", F.lit(""))
+    text = F.col("text_pages") > 0
+    return _docs(spark, d).select(
+        "extract_id",
+        files.extension(source).alias("kind"),
+        files.plain_output_name(source).alias("plain_name"),
+        files.output_path(source, F.lit("out/")).alias("path"),
+        files.is_markdown_path(source).alias("is_markdown"),
+        F.coalesce(files.needs_cloud(source, text, F.col("n_tables") > 3), F.lit(False)).alias("cloud"),
+        files.by_pages(source, F.lit("local")).alias("by_pages"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (j09_merged_blocks, k01_documents, k06_review_reports, r04_term_warnings, k09_routed_files, w12_page_blocks, o07_assembled, j05_expected_blocks, k02_headers, k07_output_names, g09_heading_chunks, g10_embedding_texts, g12_repeated_versions, g02_missing_fields)}
 
 _L = f"l AS (SELECT extract_id, line_no, line, {sql.strip('line')} AS s FROM {sql.lines('extracted_docs', 'extract_id', 'extracted_text')})"
 _OWN = "l AS (SELECT extract_id, unnest(range(1, len(_l) + 1)) AS line_no, unnest(_l) AS line FROM (SELECT extract_id, string_split(extracted_text, chr(10)) AS _l FROM extracted_docs WHERE extracted_text IS NOT NULL))"
@@ -104,4 +150,11 @@ SQL = {
         FROM chunks c JOIN extracted_docs d USING (extract_id) LEFT JOIN m USING (version_id) WHERE d.version_id IS NOT NULL""",
     "g12_repeated_versions": "SELECT version_id, count(*) AS n_rows, max(updated_at) AS last_updated FROM doc_meta WHERE version_id IS NOT NULL GROUP BY version_id HAVING count(*) > 1",
     "g02_missing_fields": "SELECT meta_id, missing FROM (SELECT meta_id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN {sql.strip(f'coalesce({c}::VARCHAR, {sql.q(str())})')} = '' THEN {sql.q(c)} END" for c in REQUIRED) + "], lambda x: x IS NOT NULL), ',') AS missing FROM doc_meta) WHERE missing <> ''",
+    "j09_merged_blocks": f"""WITH {_BLOCK}, v AS (SELECT version_id, min(extract_id) AS f, max(extract_id) AS l FROM extracted_docs WHERE version_id IS NOT NULL GROUP BY version_id),
+        x AS (SELECT version_id, page_no, block, 0 AS n FROM blocks JOIN v ON extract_id = f UNION ALL SELECT version_id, page_no, block, 1 FROM blocks JOIN v ON extract_id = l)
+        SELECT version_id, page_no, arg_max(block, n) AS block FROM x GROUP BY version_id, page_no""",
+    "k09_routed_files": f"""WITH s AS (SELECT *, coalesce(source_name, '') AS n FROM extracted_docs), x AS (SELECT *, lower(regexp_extract(n, '([.][^./\\\\]+)$', 1)) AS kind, CASE WHEN s2 = '' THEN 'untitled' WHEN length(s2) > 120 THEN s2[1:120] || '_' || md5(s2)[1:8] ELSE s2 END AS safe FROM (SELECT *, {_STEM} AS s2 FROM s))
+        SELECT extract_id, kind, regexp_replace(regexp_extract(n, '([^/\\\\]*)$', 1), '(.)[.][^.]*$', '\\1') || '_structured.md' AS plain_name, 'out/' || safe || '_structured.md' AS path, kind = '.md' AS is_markdown,
+          CASE WHEN kind IN ({', '.join(sql.q(k) for k in files.LOCAL[1:] + files.CLOUD)}) THEN true WHEN kind = '.pdf' THEN NOT coalesce(text_pages > 0, false) OR coalesce(n_tables > 3, false) ELSE false END AS cloud, kind = '.pdf' AS by_pages FROM x""",
 }
+SQL["k01_documents"] = f"SELECT h.extract_id, header || chr(10) || coalesce(chr(10) || extracted_text, '') AS markdown FROM ({SQL['k02_headers']}) h JOIN extracted_docs USING (extract_id)"

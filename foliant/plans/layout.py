@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foliant.functions.lines import suspicious_signs
+from foliant.functions.text import better_text, clean_line, first_text
 from foliant.operators import boxes, layers, pages, tables
-from foliant.plans import sql
+from foliant.plans import plain, sql
 from foliant.session import table
 
 PAGE = ["version_id", "page_no"]
@@ -47,7 +49,10 @@ def p26_table_heavy(spark, d):
 
 
 def a01_page_metrics(spark, d):
-    return pages.page_metrics(_raw(spark, d), "version_id", "raw_text", "extraction")
+    """A page's tables are counted by the separators below their headers."""
+    lines = F.split(F.coalesce("raw_text", F.lit("")), "\r\n|\n|\r")
+    rows = _raw(spark, d).withColumn("n_tables", F.size(F.filter(lines, tables.is_separator)))
+    return pages.page_metrics(rows, "version_id", "raw_text", "extraction", "n_tables")
 
 
 def a04_keyword_scores(spark, d):
@@ -65,6 +70,21 @@ def p29_page_classes(spark, d):
     return _bigint(out, "page_no")
 
 
+def q_p29_layout_reasons(spark, d):
+    return _bigint(pages.layout_reasons(_signals(spark, d)).select(*PAGE, F.array_join("layout_reasons", ";").alias("reasons")), "page_no")
+
+
+def a12_raster_scores(spark, d):
+    s = pages.raster_scores(F.coalesce("raster_horizontal_lines", F.lit(0)), F.coalesce("raster_vertical_lines", F.lit(0)))
+    return _bigint(_signals(spark, d).select(*PAGE, F.round(s["table_score"], 6).alias("table_score"), F.round(s["form_score"], 6).alias("form_score")), "page_no")
+
+
+def o02_page_indices(spark, d):
+    """The indices of pages 3 to 6 of each version, by its number of pages."""
+    totals = _raw(spark, d).groupBy("version_id").agg(F.max("page_no").alias("n"))
+    return totals.select("version_id", F.explode(pages.page_indices(F.col("n"), F.lit(3), F.lit(6))).alias("page_index")).withColumn("page_index", F.col("page_index").cast("bigint"))
+
+
 def w02_table_pages(spark, d):
     return _bigint(pages.table_pages(pages.classified(_signals(spark, d)), "version_id", "page_no"), "page_no")
 
@@ -82,7 +102,7 @@ def o01_page_range(spark, d):
     return _bigint(pages.clamped(_raw(spark, d).select("page_id", *PAGE), "version_id", "page_no", 2, 5).select("page_id", "page_no"), "page_no")
 
 
-def s15_blocks(spark, d):
+def d08_blocks(spark, d):
     return pages.blocks_of_pages(_raw(spark, d), "page_id", "page_no", "raw_text", "extraction")
 
 
@@ -139,7 +159,16 @@ def t16_continued_tables(spark, d):
 
 def t20_finished(spark, d):
     lines = pages.lines_of(_blocks(spark, d), ["extract_id", "page_no"], "block")
-    return _bigint(tables.finished(lines, "extract_id", "page_no"), "page_no", "line_no")
+    return tables.finished_texts(lines, "extract_id", "page_no")
+
+
+def l05_normalised(spark, d):
+    return tables.normalised_markdown(_raw(spark, d), "page_id", "raw_text")
+
+
+def l06_marked_pages(spark, d):
+    """The deliveries of each version as a parser's pages, in the order of their ids."""
+    return pages.marked_pages(_raw(spark, d).where("version_id IS NOT NULL"), "version_id", "page_no", "raw_text", "page_id")
 
 
 # --- boxes --------------------------------------------------------------------------------------------------
@@ -188,6 +217,35 @@ def w10_reading_order(spark, d):
     return boxes.in_reading_order(_boxes(spark, d), PAGE)
 
 
+def o09_corners(spark, d):
+    """The corners of each box, given from the lower right one on and without order."""
+    p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    c = boxes.clockwise(F.array(p("x1", "y1"), p("x0", "y1"), p("x1", "y0"), p("x0", "y0")))
+    rows = _boxes(spark, d).dropna(subset=["x0", "y0", "x1", "y1"]).select("box_id", c.alias("c"))
+    return rows.select("box_id", *(F.col("c")[i][k].alias(f"{k}{i + 1}") for i in range(4) for k in ("x", "y")))
+
+
+def q_p21_doubtful_boxes(spark, d):
+    return _boxes(spark, d).where(suspicious_signs(clean_line(F.coalesce("box_text", F.lit(""))))).select("box_id")
+
+
+def u14_better_texts(spark, d):
+    """Of the box texts written first and last at a place the better one."""
+    rows = _boxes(spark, d).groupBy(*PAGE, "box_no").agg(F.min_by("box_text", "box_id").alias("a"), F.max_by("box_text", "box_id").alias("b"))
+    return _bigint(rows.select(*PAGE, "box_no", better_text(F.coalesce("a", F.lit("")), F.coalesce("b", F.lit(""))).alias("text")), "page_no", "box_no")
+
+
+def u02_first_texts(spark, d):
+    """Of a page's deliveries, in the order of their ids, the first that says something."""
+    rows = _raw(spark, d).groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("page_id", F.coalesce("raw_text", F.lit("")).alias("t")))).alias("r"))
+    return _bigint(rows.select(*PAGE, first_text(F.transform("r", lambda x: x["t"])).alias("text")), "page_no")
+
+
+def u13_crop_texts(spark, d):
+    rows = _boxes(spark, d).groupBy(*PAGE, "box_no").agg(F.min_by("box_text", "box_id").alias("a"), F.max_by("box_text", "box_id").alias("b"))
+    return _bigint(rows.select(*PAGE, "box_no", layers.crop_text(F.coalesce("a", F.lit("")), F.coalesce("b", F.lit(""))).alias("text")), "page_no", "box_no")
+
+
 def a13_box_texts(spark, d):
     return boxes.page_texts(_boxes(spark, d), PAGE)
 
@@ -196,8 +254,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         s12_text_probe, p22_bad_layers, a06_layer_reports, p24_dropped_layers, a03_documents_to_recognise, p26_table_heavy, a01_page_metrics, a04_keyword_scores, p29_page_classes, w02_table_pages, w01_page_runs,
-        j04_routes, o01_page_range, s15_blocks, t03_table_rows, t09_even_columns, t08_data_headers, t01_rendered, t11_hoisted_titles, t12_false_tables, t13_flat_tables, w09_marked_headings, t16_continued_tables,
-        t20_finished, a08_box_extents, o06_distinct_boxes, p39_readable_boxes, a10_box_gaps, j03_boxes_outside, j07_nearest_columns, w07_page_grids, w10_reading_order, a13_box_texts,
+        j04_routes, o01_page_range, o02_page_indices, q_p29_layout_reasons, a12_raster_scores, d08_blocks, t03_table_rows, t09_even_columns, t08_data_headers, t01_rendered, t11_hoisted_titles, t12_false_tables, t13_flat_tables, w09_marked_headings, t16_continued_tables,
+        t20_finished, l05_normalised, l06_marked_pages, o09_corners, q_p21_doubtful_boxes, u14_better_texts, u02_first_texts, u13_crop_texts, a08_box_extents, o06_distinct_boxes, p39_readable_boxes, a10_box_gaps, j03_boxes_outside, j07_nearest_columns, w07_page_grids, w10_reading_order, a13_box_texts,
     )
 }
 #: Names that begin with p and a number are kept for the training-data queries.
@@ -224,6 +282,30 @@ _BLOCKS = f"""l AS (SELECT page_id, line_no, line FROM {sql.lines('raw_pages', '
 _MEASURED = "(least(x0, x1) + greatest(x0, x1)) / 2 AS x_center, (least(y0, y1) + greatest(y0, y1)) / 2 AS y_center, greatest(1.0, greatest(y0, y1) - least(y0, y1)) AS height, greatest(1.0, greatest(x0, x1) - least(x0, x1)) AS width"
 _REASON = lambda name, found, most, when: f"CASE WHEN {when} THEN {sql.q(name)} || array_to_string({found}[1:{most}], ',') END"
 
+_PLAIN_BOX = plain.plain_line_sql("coalesce(box_text, '')")
+_SPLIT = "string_split(replace(replace(coalesce(raw_text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))"
+_ESCAPED = lambda x: sql.strip(sql.rx(f"replace(replace(coalesce({x}, ''), chr(10), '<br>'), '|', {sql.q(chr(92) + '|')})", sql.WS + "+", " "))
+_STARRED = f"list_transform({_CELLS}, lambda x: regexp_replace(x, '^[ *]+|[ *]+$', '', 'g'))"
+_WORDS = lambda x: f"len(regexp_split_to_array({x}, {sql.q(sql.WS + '+')}))"
+_LIST = lambda values: "[" + ", ".join(map(sql.q, values)) + "]"
+_FALSE = f"""l AS (SELECT page_id, line_no, line FROM {sql.lines('raw_pages', 'page_id', 'raw_text')}),
+    p AS (SELECT *, contains(line, '|') AND NOT starts_with({sql.strip('line')}, '<!--') AS p FROM l),
+    g AS (SELECT *, sum((NOT p)::INT) OVER (PARTITION BY page_id ORDER BY line_no) AS g FROM p),
+    c AS (SELECT *, {sql.matches('line', _SEP)} AS sep, {_STARRED} AS cells FROM g WHERE p),
+    r AS (SELECT *, list_filter(cells[2:], lambda c: c <> '') AS filled FROM c),
+    s AS (SELECT page_id, g, min(line_no) AS first_line, max(line_no) AS last_line, count(*) AS n, bool_or(sep) AS has,
+        max(len(cells)) FILTER (NOT sep) AS columns, bool_or(len(list_filter({_LIST(tables.HINTS)}, lambda h: contains(lower(array_to_string(cells, ' ')), h))) > 0) FILTER (NOT sep) AS hint,
+        sum(len(list_filter(cells, lambda c: c = ''))) FILTER (NOT sep) AS empty, sum(len(cells)) FILTER (NOT sep) AS every,
+        sum({sql.matches('cells[1]', rf'(?i)^([0-9]+([.][0-9]+)*[.]?{sql.WS}+|[a-zA-Zà-ỹ][.]|[IVXLCDM]+[.])')}::INT) FILTER (NOT sep) AS marks,
+        sum(len(list_filter(filled, lambda c: {_WORDS('c')} <= 2))) FILTER (NOT sep) AS short, sum(len(filled)) FILTER (NOT sep) AS right_ FROM r GROUP BY page_id, g),
+    ft AS (SELECT page_id, first_line, last_line, coalesce(NOT hint AND columns <= 2 AND (empty / greatest(every, 1) >= 0.35 OR marks >= 1 OR short / greatest(right_, 1) >= 0.7), false) AS is_false FROM s WHERE n >= 2 AND has)"""
+_HEADED = " OR ".join(sql.matches("s", x) for x in (
+    rf"^CHƯƠNG{sql.WS}+[IVXLCDM]+([^\p{{L}}\p{{M}}\p{{N}}_]|$)", rf"^Chương{sql.WS}+[IVXLCDM]+([^\p{{L}}\p{{M}}\p{{N}}_]|$)", rf"^Điều{sql.WS}+\p{{Nd}}+[.]?{sql.WS}+", rf"^PHỤ LỤC{sql.WS}+",
+    r"^QUYẾT ĐỊNH([^\p{L}\p{M}\p{N}_]|$)", r"^QUY ĐỊNH([^\p{L}\p{M}\p{N}_]|$)", r"^QUY TRÌNH([^\p{L}\p{M}\p{N}_]|$)"))
+_ANY = lambda values: f"len(list_filter({_LIST(values)}, lambda w: contains(k, w))) > 0"
+_NAMED = lambda first: f"list_transform(range({first}, n + 1), lambda i: 'Cột ' || i)"
+_ROWN = "'| ' || array_to_string(CASE WHEN len({c}) > w THEN list_concat({c}[1:w - 1], [array_to_string({c}[w:], ' ')]) ELSE list_resize({c}, w, '') END, ' | ') || ' |'"
+
 SQL = {
     "s12_text_probe": f"SELECT version_id, sum(CASE WHEN page_no <= 3 THEN length({_TEXT}) ELSE 0 END) >= 80 AS has_text FROM raw_pages GROUP BY version_id",
     "q_p22_bad_layers": f"""SELECT page_id, (length({_TEXT}) < 50 OR ({_NOISE}) >= 3 OR ({_count('[~}{' + chr(92) + ']' + chr(92) + '[)(]')} >= 8 AND marks < 0.04) OR ({_words('[A-ZĐ]{8,}')} >= 5 AND marks < 0.05)) AS is_bad
@@ -231,7 +313,7 @@ SQL = {
     "q_p26_table_heavy": f"""SELECT version_id, round(avg((length(s) <= 30)::INT), 6) AS short_ratio, round(avg(regexp_matches(s, '[0-9]')::INT), 6) AS number_ratio,
         avg((length(s) <= 30)::INT) > 0.45 AND avg(regexp_matches(s, '[0-9]')::INT) > 0.35 AS table_heavy
         FROM (SELECT version_id, page_no, {sql.strip('line')} AS s FROM {sql.lines('raw_pages', 'version_id, page_no', 'raw_text')}) WHERE page_no <= 3 AND s <> '' GROUP BY version_id""",
-    "a01_page_metrics": f"SELECT version_id, count(*) AS total_pages, sum(length({sql.clean_text('raw_text')})) AS total_characters, count(*) FILTER (extraction = 'pymupdf_text') AS text_pages, count(*) FILTER (extraction = 'ocr_pdf_scan') AS ocr_pages FROM raw_pages GROUP BY version_id",
+    "a01_page_metrics": f"SELECT version_id, count(*) AS total_pages, sum(length({sql.clean_text('raw_text')})) AS total_characters, count(*) FILTER (extraction = 'pymupdf_text') AS text_pages, count(*) FILTER (extraction = 'ocr_pdf_scan') AS ocr_pages, sum(len(list_filter({_SPLIT}, lambda l: {sql.matches('l', _SEP)}))) AS n_tables FROM raw_pages GROUP BY version_id",
     "a04_keyword_scores": f"""WITH k AS (SELECT page_id, coalesce(raw_text, '') AS r, {sql.clean_line("lower(coalesce(raw_text, ''))")} AS k FROM raw_pages),
         f AS (SELECT *, {_found(pages.TABLE_PHRASES)} AS st, {_found(pages.TABLE_HEADERS)} AS he, {_found(pages.FORM_PHRASES)} AS fo, {_found(pages.FORM_FIELDS)} AS fi, (contains(k, 'hồ sơ đạt') AND contains(k, 'hồ sơ không đạt')) AS fl, {_count(chr(92) + '.{6,}', 'r')} AS dots FROM k)
         SELECT page_id, (CASE WHEN len(st) > 0 THEN 2 + len(st) ELSE 0 END + CASE WHEN len(he) >= 3 THEN len(he) ELSE 0 END + CASE WHEN fl THEN 2 ELSE 0 END) AS keyword_score,
@@ -257,4 +339,42 @@ SQL = {
     "j07_nearest_columns": f"""WITH m AS (SELECT box_id, version_id, page_no, x0, {_MEASURED} FROM ocr_boxes), c AS (SELECT version_id, page_no, list_sort(list_distinct(list(floor(x0 / 50) * 50.0))) AS centers FROM m WHERE x_center IS NOT NULL GROUP BY ALL),
         x AS (SELECT box_id, x_center, unnest(centers) AS center, unnest(range(len(centers))) AS i FROM m JOIN c USING (version_id, page_no) WHERE x_center IS NOT NULL)
         SELECT box_id, arg_min(i, (abs(x_center - center), i)) AS column_no FROM x GROUP BY box_id""",
+    "q_p29_layout_reasons": f"""WITH {_SIG} SELECT version_id, page_no, array_to_string(list_filter([CASE WHEN vector_line_count >= 20 THEN 'many_vector_lines:' || vector_line_count END,
+        CASE WHEN raster_line_score >= 0.45 THEN 'raster_table_score:' || printf('%.2f', raster_line_score) END, CASE WHEN raster_form_score >= 0.45 THEN 'raster_form_score:' || printf('%.2f', raster_form_score) END,
+        CASE WHEN coalesce(raster_horizontal_lines, 0) <> 0 OR coalesce(raster_vertical_lines, 0) <> 0 THEN 'raster_lines:h' || coalesce(raster_horizontal_lines, 0) || '/v' || coalesce(raster_vertical_lines, 0) END], lambda x: x IS NOT NULL), ';') AS reasons FROM sig""",
+    "a12_raster_scores": f"""WITH {_SIG}, h AS (SELECT version_id, page_no, coalesce(raster_horizontal_lines, 0) AS h, coalesce(raster_vertical_lines, 0) AS v FROM sig)
+        SELECT version_id, page_no, round(CASE WHEN h >= 4 AND v >= 3 THEN least(h / 18.0, 1.0) * 0.45 + least(v / 12.0, 1.0) * 0.55 ELSE least(h / 30.0, 0.25) + least(v / 20.0, 0.20) END, 6)::DOUBLE AS table_score,
+        round(CASE WHEN h < 6 THEN 0.0 WHEN v >= 3 THEN least(least(h / 18.0, 1.0) + 0.15, 1.0) ELSE least(h / 18.0, 1.0) END, 6)::DOUBLE AS form_score FROM h""",
+    "o02_page_indices": "SELECT version_id, unnest(range(2, greatest(3, least(6, n)))) AS page_index FROM (SELECT version_id, max(page_no) AS n FROM raw_pages GROUP BY version_id)",
+    "l06_marked_pages": f"""SELECT version_id, string_agg({sql.strip("'<!-- page: ' || coalesce(nullif(page_no, 0), page_id) || ' -->' || chr(10) || chr(10) || " + _TEXT)}, chr(10) || chr(10) ORDER BY page_id) || chr(10) AS body FROM raw_pages WHERE version_id IS NOT NULL GROUP BY version_id""",
+    "o09_corners": "SELECT box_id, least(x0, x1) AS x1, least(y0, y1) AS y1, greatest(x0, x1) AS x2, least(y0, y1) AS y2, greatest(x0, x1) AS x3, greatest(y0, y1) AS y3, least(x0, x1) AS x4, greatest(y0, y1) AS y4 FROM ocr_boxes WHERE x0 IS NOT NULL AND y0 IS NOT NULL AND x1 IS NOT NULL AND y1 IS NOT NULL",
+    "q_p21_doubtful_boxes": f"SELECT box_id FROM ocr_boxes WHERE {sql.matches(sql.clean_line('box_text'), '(?i)[?]|Email|ĐT|Điện thoại|www|http|[(]Q| Q[A-Za-z0-9]|[A-Za-z0-9._%+-]+ +[QO0] *[A-Za-z0-9.-]+[.](vn|com|edu[.]vn)')}",
+    "u14_better_texts": f"""WITH x AS (SELECT version_id, page_no, box_no, {sql.clean_line('arg_min(box_text, box_id)')} AS a, {sql.clean_line('arg_max(box_text, box_id)')} AS b FROM ocr_boxes GROUP BY ALL)
+        SELECT version_id, page_no, box_no, CASE WHEN a = '' THEN b WHEN b = '' THEN a WHEN contains(b, '@') AND NOT contains(a, '@') THEN b
+          WHEN length(a) - length(replace(a, '?', '')) > length(b) - length(replace(b, '?', '')) THEN b WHEN length(b) > length(a) + 5 AND NOT contains(b, '?') THEN b ELSE a END AS text FROM x""",
+    "u02_first_texts": f"SELECT version_id, page_no, coalesce(arg_min(t, page_id) FILTER (t <> ''), '') AS text FROM (SELECT *, {sql.clean_text('raw_text')} AS t FROM raw_pages) GROUP BY version_id, page_no",
+    "a13_box_texts": f"""SELECT version_id, page_no, string_agg(t, chr(10) ORDER BY box_no, t) AS text FROM (SELECT version_id, page_no, box_no, {_PLAIN_BOX} AS t FROM ocr_boxes) WHERE t <> '' GROUP BY version_id, page_no""",
+    "t12_false_tables": f"WITH {_FALSE} SELECT page_id, first_line, last_line, is_false FROM ft",
+    "t13_flat_tables": f"""WITH {_FALSE}, j AS (SELECT l.*, ft.first_line IS NOT NULL AS flat, {sql.matches('line', _SEP)} AS sep, array_to_string(list_filter({_STARRED}, lambda c: c <> ''), ' ') AS plain FROM l LEFT JOIN ft ON l.page_id = ft.page_id AND ft.is_false AND line_no BETWEEN ft.first_line AND ft.last_line)
+        SELECT page_id, line_no, CASE WHEN flat THEN plain ELSE line END AS line FROM j WHERE NOT flat OR (NOT sep AND plain <> '')""",
+    "w09_marked_headings": f"""WITH l AS (SELECT page_id, line_no, line, {sql.strip('line')} AS s FROM {sql.lines('raw_pages', 'page_id', 'raw_text')}),
+        i AS (SELECT *, last_value(CASE WHEN {sql.matches('s', '^[|]?.+[|]')} THEN true WHEN s = '' THEN false END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS inside FROM l)
+        SELECT page_id, line_no, CASE WHEN ({_HEADED}) AND NOT coalesce(inside, false) AND NOT starts_with(s, '#') THEN '## ' || s ELSE line END AS line FROM i""",
+    "t01_rendered": f"""WITH {_BLOCKS}, t AS (SELECT *, min(line_no) OVER (PARTITION BY page_id, block) AS first FROM b WHERE block IS NOT NULL),
+        n AS (SELECT page_id, line_no, dense_rank() OVER (PARTITION BY page_id ORDER BY first) AS table_no, list_transform(cells, lambda x: {_ESCAPED('x')}) AS cells FROM t WHERE isrow),
+        k AS (SELECT page_id, table_no, list(cells ORDER BY line_no) FILTER (len(list_filter(cells, lambda x: x <> '')) > 0) AS rows FROM n GROUP BY page_id, table_no),
+        w AS (SELECT *, list_max(list_transform(rows, lambda r: len(r))) AS n FROM k),
+        m AS (SELECT *, list_transform(rows, lambda r: '| ' || array_to_string(list_resize(r, n, ''), ' | ') || ' |') AS lines, '| ' || array_to_string(list_resize(['---'], n, '---'), ' | ') || ' |' AS sep FROM w)
+        SELECT page_id, table_no, CASE WHEN rows IS NULL OR len(rows) = 0 THEN '' WHEN len(rows) = 1 THEN '| ' || array_to_string({_NAMED('1')}, ' | ') || ' |' || chr(10) || sep || chr(10) || lines[1]
+          ELSE lines[1] || chr(10) || sep || chr(10) || array_to_string(lines[2:], chr(10)) END AS markdown FROM m""",
+    "t08_data_headers": f"""WITH l AS (SELECT page_id, line_no, line FROM {sql.lines('raw_pages', 'page_id', 'raw_text')}),
+        a AS (SELECT *, {_CELLS} AS cells, {sql.matches('line', _SEP)} AS sep, {sql.matches('line', _ROWP)} AND NOT {sql.matches('line', _SEP)} AS isrow FROM l),
+        h AS (SELECT *, isrow AND coalesce(lead(sep) OVER w, false) AND len(cells) >= 3 AND regexp_matches(coalesce(cells[1], ''), '(?i)^([0-9]{{1,3}}|[IVXLCDM]+)$') AND {_WORDS("coalesce(cells[2], '')")} >= 3
+            AND {sql.matches("array_to_string(cells, ' ')", rf'(?i)(^|[^\p{{L}}\p{{M}}\p{{N}}_])({tables.ACTIONS})([^\p{{L}}\p{{M}}\p{{N}}_]|$)')} AS h FROM a WINDOW w AS (PARTITION BY page_id ORDER BY line_no)),
+        x AS (SELECT *, len(cells) AS n, {sql.match_key("array_to_string(cells, ' ')")} AS k, coalesce(lag(h) OVER (PARTITION BY page_id ORDER BY line_no), false) AS after FROM h),
+        g AS (SELECT *, CASE WHEN n = 6 AND {_ANY(tables.DISCIPLINE)} THEN ['TT', 'Nội dung vi phạm', 'Lần 1', 'Lần 2', 'Lần 3', 'Ghi chú'] WHEN n >= 10 AND {_ANY(tables.REPORT)} THEN {_NAMED('1')}
+            WHEN n >= 3 THEN list_concat(['TT', 'Nội dung'], {_NAMED('3')}) ELSE {_NAMED('1')} END AS header FROM x WHERE NOT after),
+        w AS (SELECT *, greatest(len(header), n) AS w FROM g),
+        e AS (SELECT page_id, line_no, unnest([1, 2, 3]) AS sub, unnest(CASE WHEN h THEN [{_ROWN.format(c='header')}, '| ' || array_to_string(list_resize(['---'], w, '---'), ' | ') || ' |', {_ROWN.format(c='cells')}] ELSE [line, NULL, NULL] END) AS line, h FROM w)
+        SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY line_no, sub) AS line_no, line FROM e WHERE h OR sub = 1""",
 }

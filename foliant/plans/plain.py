@@ -81,7 +81,11 @@ def _fold(x: str) -> str:
     return x
 
 
-_LINE = sql.strip(sql.rx(_fold(sql.strip("nfc_normalize(line)")), sql.WS + "+", " "))
+def plain_line_sql(x: str) -> str:
+    return sql.strip(sql.rx(_fold(sql.strip(f"nfc_normalize({x})")), sql.WS + "+", " "))
+
+
+_LINE = plain_line_sql("line")
 _TEXT = sql.strip(sql.rx(sql.rx(_fold(sql.rx("nfc_normalize(coalesce(raw_text, ''))", "\r\n?", "\n")), "[ \t]+", " "), "\n{3,}", "\n\n"))
 _LINES = sql.lines("raw_pages", "page_id", "raw_text")
 _TITLED = lambda titles: f"(upper(c) IN ({', '.join(map(sql.q, titles))}) OR ({sql.any_start('upper(c)', titles)} AND length(c) <= 90 AND NOT {sql.matches('c', '[.,;]$')} AND {sql.upper_ratio('c')} >= 0.65))"

@@ -104,3 +104,60 @@ def test_layers(spark):
     assert [got[i].b for i in (1, 2, 3, 4)] == [False, True, True, True]
     assert got[1].report.score == 0 and "looks_like_valid" in got[1].report.reason and got[2].report.is_bad
     assert got[3].report.reason == "text_layer_too_short_or_empty" and got[3].report.token_count is None
+
+
+def test_headings_put_in_count_for_later_tables(spark):
+    """The last lines are those of the result: a heading that was put in is out of reach after six lines."""
+    title = "QUY TRÌNH XÉT DUYỆT"
+    head = f"| {title}<br/>Bước | {title}<br>Lưu đồ |\n| --- | --- |"
+    rows = "\n".join(f"| {i} | x |" for i in range(4))
+    far = out(tables.titles_hoisted(lines(spark, f"{head}\n{rows}\n{head}"), ["page_no"]))
+    assert [x for x in far if x.startswith("## ")] == [f"## {title}"] * 2
+    near = out(tables.titles_hoisted(lines(spark, f"{head}\n| 1 | x |\n\n{head}"), ["page_no"]))
+    assert near == [f"## {title}", "", "| Bước | Lưu đồ |", "| --- | --- |", "| 1 | x |", "", "| Bước | Lưu đồ |", "| --- | --- |"]
+
+
+def test_finished_texts(spark):
+    text = "| a | b |\n|---|---|\n\n\n\n\nscanned with CamScanner\nx   y"
+    (got,) = tables.finished_texts(lines(spark, text).withColumn("doc", F.lit(1)), "doc", "page_no").collect()
+    assert got.text == "| a | b |\n| --- | --- |\n\nx y\n"
+    df = spark.createDataFrame([(1, "| 1. Phạm vi | |\r\n|---|---|\r\n| a | b |\r\n\r\n\r\nĐiều 1. Tên   dài\n# Có"), (2, None), (3, "")], "i int, t string")
+    got = {r.i: r.text for r in tables.normalised_markdown(df, "i", "t").collect()}
+    assert got == {1: "1. Phạm vi\na b\n\n## Điều 1. Tên dài\n# Có\n", 3: "\n"}
+
+
+def test_box_texts_are_a_line_per_box(spark):
+    rows = [(1, 2, 0.0, 0.0, 1.0, 1.0, "B", 0.9), (1, 1, 0.0, 0.0, 1.0, 1.0, "A", 0.9), (1, 3, 0.0, 0.0, 1.0, 1.0, "  ", None), (2, 1, 0.0, 0.0, 1.0, 1.0, None, None)]
+    got = boxes.page_texts(spark.createDataFrame(rows, SCHEMA), ["page_no"]).collect()
+    assert [(r.page_no, r.text) for r in got] == [(1, "A\nB")]
+    df = spark.createDataFrame([(1,)], "i int").select(boxes.clockwise(F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((9, 8), (1, 7), (8, 0), (0, 0))))).alias("c"))
+    assert [(p.x, p.y) for p in df.first().c] == [(0, 0), (8, 0), (9, 8), (1, 7)]
+
+
+def test_dropped_layers(spark):
+    plain = "Sinh vien phai thuc hien dung quy dinh cua nha truong ve hoc tap va ren luyen theo quyet dinh. "
+    marked = "Sinh viên thực hiện đúng các quy định của nhà trường về học tập và rèn luyện. "
+    rows = [(1, "ngắn", 1.0, 1.0), (2, marked * 3, 1.0, 1.0), (3, (marked + plain * 2) * 3, 0.8, 0.0), (4, (marked + plain * 2) * 3, 0.6, 0.6), (5, None, 0.0, None)]
+    df = spark.createDataFrame(rows, "i int, t string, total double, largest double")
+    got = {r.i: r for r in layers.dropped_layer(df, "t", "total", "largest").collect()}
+    assert [got[i].drop_layer for i in (1, 2, 5)] == [False, False, False] and got[1].report.reason == "text_too_short"
+    score = got[3].report
+    assert got[3].drop_layer == (score.is_bad or score.score >= 2) == got[4].drop_layer
+    forced = layers.dropped_layer(df, "t", "total", force=True).collect()
+    assert all(r.drop_layer and r.report.reason == "force_ocr" for r in forced)
+    assert not any(r.drop_layer for r in layers.dropped_layer(df, "t", "total", judge=False).collect())
+
+
+def test_blocks_merge_and_mark(spark):
+    local = spark.createDataFrame([("d", 1, "a"), ("d", 2, "b")], "doc string, page_no int, block string")
+    cloud = spark.createDataFrame([("d", 2, "c"), ("e", 1, "f")], "doc string, page_no int, block string")
+    got = sorted(tuple(r) for r in pages.merged_blocks(local, cloud, document="doc").collect())
+    assert got == [("d", 1, "a"), ("d", 2, "c"), ("e", 1, "f")]
+    rows = spark.createDataFrame([("d", None, " x ", 1), ("d", 7, None, 2)], "doc string, page int, t string, o int")
+    assert pages.marked_pages(rows, "doc", "page", "t", "o").first().body == "<!-- page: 1 -->\n\nx\n\n<!-- page: 7 -->\n"
+    assert [pages.target_pages(*x) for x in ((None, None), (4, None), (4, 8), (None, 1))] == [None, "4", "4-8", "1"]
+
+
+def test_crops(spark):
+    df = spark.createDataFrame([("", "Email: a@b.vn"), ("Email: a", "Email: a@b.vn"), ("chữ", "dài hơn nhiều"), (None, None)], "a string, b string")
+    assert [r.t for r in df.select(layers.crop_text(F.col("a"), F.col("b")).alias("t")).collect()] == ["Email: a@b.vn", "Email: a@b.vn", "chữ", ""]

@@ -85,3 +85,64 @@ def test_repeated_lines(spark):
     assert [(r.doc, r.key, r.n_pages) for r in found.collect()] == [("d", "trường x trang #", 5)]
     assert pages.without_repeated(lines, found, "doc").count() == 7
     assert pages.repeated_lines(lines.limit(0), "doc", "page").count() == 0
+
+
+def test_rules_keep_their_blanks(spark):
+    said = ["khoá\nhọc", "khoá học", "ĐT: 0 2 9 2 3 8 3 2 6 6 3 và", "ĐT: 12 34", "vôn vay CCD  số", "Khoatổng hợp", "chính phủ việt nam"]
+    got = column(spark, said, rules.common_layer)
+    assert got == ["khoá\nhọc", "khóa học", "ĐT: 02923832663và", "ĐT: 12 34", "vốn vay CCCD số", "Khoa tổng hợp", "Chính phủ Việt Nam"]
+
+
+def test_misreadings_against_re(spark):
+    """The fold of the JVM's patterns against that of Python's, over whole pages."""
+    import os
+
+    data = "/root/testdata/sf0.001/raw_pages.parquet"
+    if not os.path.exists(data):
+        pytest.skip("no test data")
+    rows = spark.read.parquet(data).where("raw_text IS NOT NULL").select("raw_text", rules.common_words(F.col("raw_text")).alias("x"), rules.phone_numbers(F.col("raw_text")).alias("p")).collect()
+    for r in rows:
+        want = r.raw_text
+        for a, b in rules.MISREADINGS:
+            want = re.sub(a, b, want, flags=re.IGNORECASE)
+        assert r.x == want
+        assert r.p == re.sub(rules.PHONE, lambda m: m[1] + re.sub(r"\s+", "", m[2]), r.raw_text, flags=re.IGNORECASE)
+
+
+def test_plain_formatter(spark):
+    """Against a plain loop over the same predicates."""
+    from foliant.functions import plain as P
+    from foliant.operators import plain
+
+    text = "QUYẾT ĐỊNH\nSố : 12/QĐ - ABC\nCăn cứ luật\nsố 5 ;\na)\nSinh viên phải thực hiện\nđúng quy định\n12\nnội- \nquy . Xong\nĐiều 1. Tên\nThân bài\nNỘI\nQUY KÝ TÚC XÁ"
+    df = spark.createDataFrame([(1, text), (1, unicodedata.normalize("NFD", "Đường")), (2, None), (3, "")], "i int, t string")
+    got = plain.plain_markdown(df, "i", "t").collect()
+    assert [r.text for r in got if r.i == 1] == [
+        "# QUYẾT ĐỊNH\n\n**Số: 12/QĐ-ABC**\n\n**Căn cứ luật số 5;**\n\n- a) Sinh viên phải thực hiện đúng quy định nội-quy. Xong\n\n### Điều 1. Tên\n\nThân bài NỘI QUY KÝ TÚC XÁ",
+        "Đường",
+    ]
+    assert [r.text for r in got if r.i != 1] == ["", ""]
+    rows = spark.createDataFrame([(b, c) for b in ("a)", "Điều 1. Tên", "câu.", "câu", "") for c in ("tiếp", "Điều 2", "- mục", "Căn cứ", "")], "b string, c string")
+    joined = {(r.b, r.c): r.j for r in rows.select("b", "c", P.joins_plain(F.col("b"), F.col("c")).alias("j")).collect()}
+    for (b, c), j in joined.items():
+        merged = plain.with_plain_merged(spark.createDataFrame([(f"{b}\n{c}",)], "t string"), "t", "m").first().m if b and c else None
+        assert merged is None or ("\n" not in merged) == j, (b, c)
+
+
+def test_plain_rules_against_re(spark):
+    from foliant.functions import plain as P
+
+    said = ["a ,b", "x;y..z", "QĐ - ĐHCT / 5", "( a )", "C0NG HÒA, XA HOI", "•  mục – 1…", None]
+    for value, got in zip(said, column(spark, said, P.plain_layers), strict=True):
+        want = value or ""
+        for _ in range(2):
+            for a, b in P.SIGNS:
+                want = want.replace(a, b)
+            want = re.sub(r"[ \t]+", " ", want).strip()
+            for rule in P.SPACING:
+                want = re.sub(rule.pattern, rule.to.replace("$", "\\"), want)
+            want = want.strip()
+            if _ == 0:
+                for rule in P.RARE:
+                    want = re.sub(rule.pattern, rule.to, want, flags=re.I)
+        assert got == want
