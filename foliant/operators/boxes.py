@@ -6,6 +6,8 @@ first group whose running mean is near) run per page in Arrow batches. A page's
 
 from __future__ import annotations
 
+import json
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -223,17 +225,46 @@ def clockwise(points: Column) -> Column:
     return F.array(pick(total, True), pick(difference, True), pick(total, False), pick(difference, False))
 
 
+def recognised(df: DataFrame, key: str, result: str) -> DataFrame:
+    """``key, box_no, x0, y0, x1, y1, box_text`` of a recogniser's results, JSON of nested lists and mappings.
+
+    Boxes come breadth first, numbered from 1; what is no JSON, null or has no boxes gives no row.
+    """
+    rows = df.select(F.col(key), F.col(result).cast("string"))
+    schema = T.StructType([rows.schema[0], T.StructField("box_no", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1")), T.StructField("box_text", T.StringType())])
+    kinds = to_arrow_schema(schema)
+
+    def boxes_of(said: str | None) -> list[tuple]:
+        try:
+            found = json.loads(said or "null")
+        except ValueError:
+            return []
+        return list(flattened(found)) if isinstance(found, (list, dict)) else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for k, said in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for n, (box, text) in enumerate(boxes_of(said), 1):
+                    xs, ys = [float(p[0]) for p in box], [float(p[1]) for p in box]
+                    out.append((k, n, min(xs), min(ys), max(xs), max(ys), text))
+            columns = list(zip(*out, strict=True)) if out else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds.field(i).type) for i, c in enumerate(columns)], schema=kinds)
+
+    return rows.mapInArrow(run, schema)
+
+
 def flattened(values: Iterator) -> Iterator[tuple[list[list[float]], str | None]]:
     """Boxes with their texts, breadth first, out of a recogniser's nested lists and mappings."""
-    todo = list(values) if not isinstance(values, dict) else [values]
+    todo = deque(values if not isinstance(values, dict) else [values])
     while todo:
-        x = todo.pop(0)
+        x = todo.popleft()
         if isinstance(x, dict):
             box, said = x.get("box") or x.get("points"), x.get("text") or x.get("rec_text")
             if _is_box(box):
                 yield box, said
             else:
-                todo += list(x.values())
+                todo.extend(x.values())
         elif isinstance(x, (list, tuple)):
             if len(x) == 2 and _is_box(x[0]):
                 said = x[1]
@@ -241,7 +272,7 @@ def flattened(values: Iterator) -> Iterator[tuple[list[list[float]], str | None]
             elif _is_box(x):
                 yield x, None
             else:
-                todo += list(x)
+                todo.extend(x)
 
 
 def _is_box(x: object) -> bool:

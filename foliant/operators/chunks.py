@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from foliant.functions.text import strip
 
-LEVELS = 4
+#: Levels of Markdown headings.
+LEVELS = 6
 
 
 def heading_chunks(lines: DataFrame, document: str, number: str = "line_no", line: str = "line") -> DataFrame:
@@ -25,7 +26,7 @@ def heading_chunks(lines: DataFrame, document: str, number: str = "line_no", lin
     # The last heading of each level, and where it stood; a heading counts while no higher one came after it.
     text = F.regexp_replace("_l", r"^#+\s*", "")
     for k in range(1, LEVELS + 1):
-        at = F.when(F.col("_v") == k if k < LEVELS else F.col("_v") >= k, F.struct(F.col("_n").alias("n"), text.alias("h")))
+        at = F.when(F.col("_v") == k, F.struct(F.col("_n").alias("n"), text.alias("h")))
         rows = rows.withColumn(f"_h{k}", F.last(at, ignorenulls=True).over(w))
     above: Column = F.lit(0)
     parts = []

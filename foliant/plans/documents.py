@@ -123,13 +123,14 @@ _BLOCK = f"""{_OWN}, h AS (SELECT *, sum(regexp_matches(line, '^## Trang +[0-9]+
 _HEADER = "".join(f" || CASE WHEN {c} IS NULL THEN '' ELSE '- {n}: ' || {c} || chr(10) END" for n, c in (("Extraction mode", "extraction_mode"), ("Total pages", "total_pages"), ("Total characters", "total_characters"), ("Text pages", "text_pages"), ("OCR pages", "ocr_pages"), ("Tables", "n_tables")))
 _BASE = sql.rx(sql.rx("regexp_replace(regexp_extract(coalesce(source_name, ''), '([^/\\\\]*)$', 1), '\\.[^.]*$', '')", r'[<>:"/\\|?*\x00-\x1f]', "_"), f"{sql.WS}+", "_")
 _STEM = sql.rx(_BASE, r"^[._ ]+|[._ ]+$", "")
+# A heading counts while none of a higher level came after it.
+_ABOVE = ["h1.h"] + [f"CASE WHEN h{k}.n > greatest(" + ", ".join(f"coalesce(h{j}.n, 0)" for j in range(1, k)) + f") THEN h{k}.h END" for k in range(2, 7)]
 _CHUNKS = f"""{_L}, v AS (SELECT *, coalesce(nullif(regexp_extract(s, '^<!-- page: ([0-9]+) -->', 1), ''), nullif(regexp_extract(s, '^## Trang +([0-9]+)$', 1), ''))::BIGINT AS p FROM l),
     w AS (SELECT *, CASE WHEN p IS NULL AND regexp_matches(s, '^#{{1,6}} ') THEN length(regexp_extract(s, '^(#+)', 1)) END AS lvl, regexp_replace(s, '^#+\\s*', '') AS h FROM v),
     x AS (SELECT *, last_value(p IGNORE NULLS) OVER o AS page, count(lvl) OVER o AS chunk_no,
-        {', '.join(f"last_value(CASE WHEN {f'lvl = {k}' if k < 4 else 'lvl >= 4'} THEN {{'n': line_no, 'h': h}} END IGNORE NULLS) OVER o AS h{k}" for k in (1, 2, 3, 4))}
+        {', '.join(f"last_value(CASE WHEN lvl = {k} THEN {{'n': line_no, 'h': h}} END IGNORE NULLS) OVER o AS h{k}" for k in range(1, 7))}
         FROM w WINDOW o AS (PARTITION BY extract_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-    y AS (SELECT *, concat_ws(' > ', h1.h, CASE WHEN h2.n > coalesce(h1.n, 0) THEN h2.h END, CASE WHEN h3.n > greatest(coalesce(h1.n, 0), coalesce(h2.n, 0)) THEN h3.h END,
-        CASE WHEN h4.n > greatest(coalesce(h1.n, 0), coalesce(h2.n, 0), coalesce(h3.n, 0)) THEN h4.h END) AS path FROM x),
+    y AS (SELECT *, concat_ws(' > ', {', '.join(_ABOVE)}) AS path FROM x),
     chunks AS (SELECT extract_id, chunk_no, max(CASE WHEN lvl IS NOT NULL THEN h END) AS heading, arg_max(path, line_no) AS heading_path, min(page) AS page_start, max(page) AS page_end,
         coalesce(string_agg(s, chr(10) ORDER BY line_no) FILTER (p IS NULL AND lvl IS NULL AND s <> '' AND NOT starts_with(s, '<!--') AND NOT regexp_matches(s, '^-{{3,}}$')), '') AS content FROM y GROUP BY extract_id, chunk_no)"""
 

@@ -246,6 +246,20 @@ def u13_crop_texts(spark, d):
     return _bigint(rows.select(*PAGE, "box_no", layers.crop_text(F.coalesce("a", F.lit("")), F.coalesce("b", F.lit(""))).alias("text")), "page_no", "box_no")
 
 
+def u07_recognised(spark, d):
+    """The boxes of each page written as a recogniser's nested result, and read from it again."""
+    p = lambda x, y: F.array(F.col(x), F.col(y))
+    item = F.struct(F.array(p("x0", "y0"), p("x1", "y0"), p("x1", "y1"), p("x0", "y1")).alias("box"), F.coalesce("box_text", F.lit("")).alias("text"))
+    rows = _boxes(spark, d).dropna(subset=["x0", "y0", "x1", "y1"]).select("box_id", F.to_json(F.struct(F.array(item).alias("page"))).alias("r"))
+    return _bigint(boxes.recognised(rows, "box_id", "r"), "box_no")
+
+
+def j08_manual_routes(spark, d):
+    """The pages of a manual list instead of the detected ones, for each version."""
+    detected = pages.table_pages(pages.classified(_signals(spark, d)), "version_id", "page_no")
+    return _bigint(pages.route_override(detected, "4,6,8-10", "version_id", "page_no", _raw(spark, d)), "page_no")
+
+
 def a13_box_texts(spark, d):
     return boxes.page_texts(_boxes(spark, d), PAGE)
 
@@ -255,7 +269,7 @@ QUERIES = {
     for f in (
         s12_text_probe, p22_bad_layers, a06_layer_reports, p24_dropped_layers, a03_documents_to_recognise, p26_table_heavy, a01_page_metrics, a04_keyword_scores, p29_page_classes, w02_table_pages, w01_page_runs,
         j04_routes, o01_page_range, o02_page_indices, q_p29_layout_reasons, a12_raster_scores, d08_blocks, t03_table_rows, t09_even_columns, t08_data_headers, t01_rendered, t11_hoisted_titles, t12_false_tables, t13_flat_tables, w09_marked_headings, t16_continued_tables,
-        t20_finished, l05_normalised, l06_marked_pages, o09_corners, q_p21_doubtful_boxes, u14_better_texts, u02_first_texts, u13_crop_texts, a08_box_extents, o06_distinct_boxes, p39_readable_boxes, a10_box_gaps, j03_boxes_outside, j07_nearest_columns, w07_page_grids, w10_reading_order, a13_box_texts,
+        t20_finished, l05_normalised, l06_marked_pages, o09_corners, q_p21_doubtful_boxes, u14_better_texts, u02_first_texts, u13_crop_texts, u07_recognised, j08_manual_routes, a08_box_extents, o06_distinct_boxes, p39_readable_boxes, a10_box_gaps, j03_boxes_outside, j07_nearest_columns, w07_page_grids, w10_reading_order, a13_box_texts,
     )
 }
 #: Names that begin with p and a number are kept for the training-data queries.
@@ -377,4 +391,6 @@ SQL = {
         w AS (SELECT *, greatest(len(header), n) AS w FROM g),
         e AS (SELECT page_id, line_no, unnest([1, 2, 3]) AS sub, unnest(CASE WHEN h THEN [{_ROWN.format(c='header')}, '| ' || array_to_string(list_resize(['---'], w, '---'), ' | ') || ' |', {_ROWN.format(c='cells')}] ELSE [line, NULL, NULL] END) AS line, h FROM w)
         SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY line_no, sub) AS line_no, line FROM e WHERE h OR sub = 1""",
+    "u07_recognised": "SELECT box_id, 1 AS box_no, least(x0, x1) AS x0, least(y0, y1) AS y0, greatest(x0, x1) AS x1, greatest(y0, y1) AS y1, nullif(box_text, '') AS box_text FROM ocr_boxes WHERE x0 IS NOT NULL AND y0 IS NOT NULL AND x1 IS NOT NULL AND y1 IS NOT NULL",
+    "j08_manual_routes": "SELECT version_id, unnest([4, 6, 8, 9, 10]) AS page_no FROM (SELECT DISTINCT version_id FROM raw_pages)",
 }
