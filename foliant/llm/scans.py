@@ -4,10 +4,11 @@
   for every character: keep it, replace it, delete it, put letters in, or, at a mark at a line end, join the lines.
   It is trained here, on the corpus' frequent words spoilt the way scanners spoil them. An edit counts if it gives
   a word of the vocabulary.
-* Running lines and page numbers are found by where they stand: a line at the edge of its page (one of the two
-  outermost, or with nothing but such lines outside it) whose wording, numbers aside, stands there on three or more
-  pages of the version; a number there that keeps its distance to the page's number through the version, or says it
-  is a page's.
+* Running lines and page numbers: a second averaged perceptron, over where a line stands on its page and what form it
+  has, says which lines may belong to the page's frame. It is trained here on a bounded number of pages, whose lines
+  are labelled by what recurs. An exact count follows: a line at the edge (one of the two outermost, or with nothing
+  but such lines outside it) whose wording, numbers aside, stands there on three or more pages of the version; a
+  number there that keeps its distance to the page's number through the version, or says it is a page's.
 
 The vocabulary is the words with a share of ``WORD_SHARE`` of all texts' words, which bounds it (counts cover all
 pages), and the editor's size with it. Words are edited once per worker. Between tasks only keys and numbers move.
@@ -43,11 +44,12 @@ TIMES, TIMES_ACCENT = 40, 200
 SEVERAL = 2
 #: Unknown words that are nothing misread, for each that is: with more of them the page is no scan but nonsense.
 STRANGERS = 3
-TRAINED_WORDS, EPOCHS = 3000, 3
+#: Most words the editor is trained on, and most pages the judge of lines is (so many lines of each of their edges).
+TRAINED_WORDS, TRAINED_PAGES, TAUGHT, EPOCHS = 3000, 1500, 6, 3
 
 MARK = "-­¬‐‑"
 CUT = re.compile(rf"[{MARK}][ \t]*\r?\n\s*")
-LEFT, RIGHT = re.compile(r"[^\W\d_]+\Z"), re.compile(r"[^\W\d_]+")
+RIGHT = re.compile(r"[^\W\d_]+")
 STRIP = ".,;:?()[]\"“”‘’'«»…|/*_–—- "
 WORD = re.compile(r"[^\s|/]+")
 CODE = re.compile(r"\W*[A-Z]{1,4}-?\d+\W*$")
@@ -78,38 +80,73 @@ def _confusions() -> dict[str, list[str]]:
 CONFUSIONS = _confusions()
 
 
+#: What the editor sees of a character: stretches (start, end) of the word around it, from two before to two behind.
+WINDOWS = [(2, 3), (1, 3), (2, 4), (1, 4), (0, 3), (2, 5), (0, 4), (1, 5)]
+Weights = dict[str, dict[str, float]]
+
+
+class Averaged:
+    """Weights of an averaged perceptron, by feature and label."""
+
+    def __init__(self, kinds: int) -> None:
+        self.weights: list[Weights] = [{} for _ in range(kinds)]
+        self._total: list[Weights] = [{} for _ in range(kinds)]
+        self._step = 1
+
+    def scores(self, feats: list[str]) -> dict[str, float]:
+        out: dict[str, float] = {}
+        for known, f in zip(self.weights, feats):
+            for label, v in known.get(f, {}).items():
+                out[label] = out.get(label, 0.0) + v
+        return out
+
+    def learn(self, feats: list[str], right: str, wrong: str) -> None:
+        for n, f in enumerate(feats):
+            now, total = self.weights[n].setdefault(f, {}), self._total[n].setdefault(f, {})
+            for label, by in ((right, 1.0), (wrong, -1.0)):
+                now[label] = now.get(label, 0.0) + by
+                total[label] = total.get(label, 0.0) + by * self._step
+
+    def step(self) -> None:
+        self._step += 1
+
+    def average(self) -> None:
+        for known, total in zip(self.weights, self._total, strict=True):
+            for f, by in list(known.items()):
+                known[f] = {label: x for label, v in by.items() if (x := v - total[f][label] / self._step)}
+                if not known[f]:
+                    del known[f]
+        self._total = [{} for _ in self.weights]
+
+
 class Editor:
     """An averaged perceptron over characters; its labels are what is written for a character: "" deletes it, several put letters in."""
 
     def __init__(self) -> None:
-        self.weights: dict[tuple, float] = {}
+        self.model = Averaged(len(WINDOWS))
         self.labels: dict[str, list[str]] = {}
         self.longer: Editor | None = None
 
     @staticmethod
-    def features(word: str, i: int) -> list[tuple]:
-        w = f"^^{word}$$"
-        a, b, c, d, e = w[i : i + 5]
-        return [(0, c), (1, b, c), (2, c, d), (3, b, c, d), (4, a, b, c), (5, c, d, e), (6, a, b, c, d), (7, b, c, d, e)]
-
-    def score(self, feats: list[tuple], label: str) -> float:
-        get = self.weights.get
-        return sum(get((f, label), 0.0) for f in feats)
+    def features(padded: str, i: int) -> list[str]:
+        return [padded[i + a : i + b] for a, b in WINDOWS]
 
-    def best(self, word: str, i: int) -> str:
-        ch = word[i]
+    def best(self, padded: str, i: int) -> str:
+        """The label of character ``i`` of a word that stands in ^^ and $$."""
+        ch = padded[i + 2]
         options = self.labels.get(ch)
         if not options:
             return ch
-        feats = self.features(word, i)
-        top, out = self.score(feats, ch), ch
+        scores = self.model.scores(self.features(padded, i))
+        top, out = scores.get(ch, 0.0), ch
         for label in options:
-            if label != ch and (s := self.score(feats, label)) > top:
+            if (s := scores.get(label, 0.0)) > top and label != ch:
                 top, out = s, label
         return out
 
     def edit(self, word: str) -> str:
-        return "".join(self.best(word, i) for i in range(len(word)))
+        padded = f"^^{word}$$"
+        return "".join(self.best(padded, i) for i in range(len(word)))
 
     def train(self, pairs: list[list[tuple[str, str]]], epochs: int) -> None:
         """``pairs``: words as (seen character, what to write) sequences."""
@@ -118,25 +155,16 @@ class Editor:
             for ch, label in word:
                 seen[ch].add(label)
         self.labels = {ch: sorted(x) for ch, x in seen.items() if x != {ch}}
-        total: dict[tuple, float] = defaultdict(float)
-        now: dict[tuple, float] = defaultdict(float)
-        self.weights = now
-        step = 1
         rng = random.Random(7)
         for _ in range(epochs):
             rng.shuffle(pairs)
             for word in pairs:
-                said = "".join(ch for ch, _ in word)
-                for i, (ch, label) in enumerate(word):
-                    got = self.best(said, i)
-                    if got != label:
-                        for f in self.features(said, i):
-                            now[f, label] += 1
-                            total[f, label] += step
-                            now[f, got] -= 1
-                            total[f, got] -= step
-                step += 1
-        self.weights = {k: v - total[k] / step for k, v in now.items() if v - total[k] / step}
+                padded = "^^" + "".join(ch for ch, _ in word) + "$$"
+                for i, (_, label) in enumerate(word):
+                    if (got := self.best(padded, i)) != label:
+                        self.model.learn(self.features(padded, i), label, got)
+                self.model.step()
+        self.model.average()
 
 
 def _spoil(word: str, rng: random.Random, rate: float) -> list[tuple[str, str]]:
@@ -245,7 +273,7 @@ def _counted(tokens: Counter[str]) -> pa.RecordBatch:
     counts: Counter[str] = Counter()
     for token, n in tokens.items():
         for word in RIGHT.findall(canonical(token).lower()):
-            if len(word) <= 24 and not encoding._SUSPECT.search(word) and not encoding._MISPLACED.search(word):
+            if not encoding._SUSPECT.search(word) and not encoding._MISPLACED.search(word):
                 counts[word] += n
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
@@ -258,13 +286,23 @@ def _model(df: DataFrame, text: str) -> tuple[dict[str, int], Editor]:
     return words, trained(words)
 
 
+def _judge(df: DataFrame, text: str, version: str, page: str) -> Judge:
+    """A judge of lines, trained on TRAINED_PAGES pages at most: whole versions, picked by their digest."""
+    share = TRAINED_PAGES / max(1, df.count())
+    rows = df.select(F.col(version).alias("v"), F.col(page).alias("p"), F.col(text).alias("t")).where(F.col("v").isNotNull() & F.col("p").isNotNull() & (F.length("t") > 0))
+    picked = F.pmod(F.xxhash64(F.col("v").cast("string")), F.lit(1_000_000)) < F.lit(share * 1_000_000)
+    judge = Judge()
+    judge.train(judged_lines([(r.v, r.p, r.t) for r in rows.where(picked).limit(TRAINED_PAGES).collect()]))
+    return judge
+
+
 # --- a page -------------------------------------------------------------------------------------------------
 
 HEADING = re.compile(r"^\W*(điều|chương|mục|phần|khoản|section|article|chapter|part|phụ lục|annexe|appendix)\b\W*[\divxlc#]+\b", re.I)
 BODY = re.compile(r"^\s*(?:[-+*•·–]\s|\(?\d{1,3}[.)]\s|\(?[a-zđ]\)\s)|^\s*\|.*\||\t|\S {3,}\S.* {3,}\S|[_.…]{4,}\s*$|^\W*$|^[^:]{2,40}:\s*[_.…]*$|^\s*(?:stt|tt|no\.?|n°)\b|^[^;]*;[^;]*;[^;]*$", re.I)
 BARE = re.compile(r"\W*$")
 NUMBER = re.compile(
-    r"^\W{0,3}(?P<word>trang|page|tr|p|pg|trg|số trang|tờ)?[.:\s]*\W{0,2}(?P<n>[\dlIoO!]{1,4}|[ivxlc]{1,9})\s*(?P<of>(?:/|of|sur|trên|trong|de)\s*(?P<m>[\dlIoO!]{1,4}))?\W{0,3}$", re.I
+    r"^\W{0,3}(?P<word>trang|page|tr|p|pg|trg|số trang|tờ)?[.:\s]*\W{0,2}(?P<n>[\dlIoO!]{1,4}|[ivxlc]{1,9})\s*(?P<of>(?:[/|]|of|sur|trên|trong|de)\s*(?P<m>[\dlIoO!]{1,4}))?\W{0,3}$", re.I
 )
 MIRROR = str.maketrans("([{<«", ")]}>»")
 ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
@@ -323,35 +361,130 @@ def shape(line: str) -> str:
     return " ".join(said.replace("ii", "u").replace("rn", "m").replace("ri", "n").split())
 
 
+#: VISCII makes a letter of every upper byte, so that fewer strange characters are no sign of it.
+_PLAIN_CHAINS = [undo for name, undo in encoding.CHAINS.items() if name != "viscii_as_cp1252"]
+
+
 def readable(line: str) -> str:
-    """A line in canonical form, its encoding put right where a chain plainly does so."""
+    """A line in canonical form, its encoding put right where a chain plainly does so; the line alone decides."""
     n = len(encoding._SUSPECT.findall(line)) + len(encoding._MISPLACED.findall(line))
     if not n:
         return canonical(line)
-    best, out, chosen = n, line, None
-    for undo in _CHAINS:
+    best, out = n, line
+    for undo in _PLAIN_CHAINS:
         said = undo(line)
         if said != line and (n := len(encoding._SUSPECT.findall(said)) + len(encoding._MISPLACED.findall(said))) < best:
-            best, out, chosen = n, said, undo
+            best, out = n, said
             if not n:
                 break
-    if chosen is not None and _CHAINS[0] is not chosen:
-        # The next line is likely to need the same.
-        _CHAINS.remove(chosen)
-        _CHAINS.insert(0, chosen)
     return canonical(out)
 
 
-_CHAINS = list(encoding.CHAINS.values())
+def _kind(ch: str) -> str:
+    return "u" if ch.isupper() else "l" if ch.islower() else "d" if ch.isdigit() else ch if ch in ".,;:!?)-" else "s"
+
+
+class Judge:
+    """An averaged perceptron over a line's place and form: does it belong to the page's frame or to the body?"""
+
+    KINDS = 11
+
+    def __init__(self) -> None:
+        self.model = Averaged(self.KINDS)
+        # Without any line to learn from all are candidates; what recurs is counted exactly.
+        self.least = {"header": float("-inf"), "number": float("-inf")}
+
+    @staticmethod
+    def features(line: str, side: str, depth: int, raw: list[str], at: int, filled: int, style: str) -> list[str]:
+        """The place: side, depth from it, blank lines next to the line, size of the page. The form: length, signs, capitals."""
+        inner, outer = (at + 1, at - 1) if side == "t" else (at - 1, at + 1)
+        gap = "".join("b" if 0 <= k < len(raw) and not raw[k].strip() else "-" for k in (inner, outer))
+        length, letters = min(len(line) // 8, 16), sum(map(str.isalpha, line))
+        caps = sum(map(str.isupper, line)) * 4 // letters if letters else 9
+        last, deep = _kind(line[-1]), min(depth, 5)
+        form = "h" if HEADING.search(line) else "b" if BODY.search(line) else "-"
+        return [f"{side}{deep}", str(length), f"{last}{length}", f"{_kind(line[0])}{last}", f"{caps}{length}", f"{gap}{side}{deep}", f"{form}{last}", f"{style}{deep}", f"{min(filled // 6, 6)}{side}{deep}", f"{form}{caps}", style]
+
+    def margin(self, feats: list[str], label: str) -> float:
+        scores = self.model.scores(feats)
+        return scores.get(label, 0.0) - scores.get("body", 0.0)
+
+    def framed(self, feats: list[str], label: str) -> bool:
+        return self.margin(feats, label) >= self.least[label]
+
+    def train(self, rows: list[tuple[list[str], str]]) -> None:
+        rng = random.Random(13)
+        labels = sorted({label for _, label in rows})
+        for _ in range(EPOCHS):
+            rng.shuffle(rows)
+            for feats, label in rows:
+                scores = self.model.scores(feats)
+                got = max(labels, key=lambda x: scores.get(x, 0.0))
+                if got != label:
+                    self.model.learn(feats, label, got)
+                self.model.step()
+        self.model.average()
+        for label in self.least:
+            # Below every line that recurs in the training pages, by half their usual margin: the exact count decides.
+            margins = [self.margin(feats, label) for feats, own in rows if own == label]
+            if margins:
+                self.least[label] = min(0.0, *margins) - 0.5 * sum(map(abs, margins)) / len(margins)
+
+
+def _edges(raw: list[str]) -> Iterator[tuple[str, list[int]]]:
+    """The filled lines of a page from its top and from its bottom."""
+    filled = [n for n, x in enumerate(raw) if x and not x.isspace()]
+    yield "t", filled
+    yield "b", filled[:0:-1]
+
+
+def judged_lines(pages: list[tuple[str, int, str]]) -> list[tuple[list[str], str]]:
+    """Lines with labels (header, number, body) to train a judge on, of pages (version, number, text).
+
+    What recurs labels itself: a line at the edge whose wording stands at the edge of three pages of its version is a
+    header, unless it reads like a heading or a row of the body; a number that is its page's, or keeps its distance to
+    it on two pages, is a page number.
+    """
+    seen: list[tuple] = []
+    wordings: dict[tuple[str, str], set[int]] = defaultdict(set)
+    ahead: dict[tuple[str, int], set[int]] = defaultdict(set)
+    for version, page, text in pages:
+        raw = text.split("\n")
+        for side, order in _edges(raw):
+            for depth, at in enumerate(order[:TAUGHT]):
+                line = readable(raw[at].strip())
+                if BARE.match(line):
+                    continue
+                number = page_number(line)
+                key = None
+                if number:
+                    ahead[version, number[1] - page].add(page)
+                elif not re.search(r"[.;,!?]$", line) and not HEADING.search(line) and not BODY.search(line) and len(key := shape(line)) >= 5:
+                    wordings[version, key].add(page)
+                else:
+                    key = None
+                seen.append((Judge.features(line, side, depth, raw, at, len(order), number[0] if number else "-"), version, page, key, number))
+    out = []
+    for feats, version, page, key, number in seen:
+        if number:
+            d = number[1] - page
+            label = "number" if d == 0 or number[0] == "word" or len(ahead[version, d]) >= 2 else "body"
+        else:
+            label = "header" if key and len(wordings[version, key]) >= 3 else "body"
+        out.append((feats, label))
+    return out
 
 
 class Reader:
-    """Judges pages with a trained editor and a vocabulary; words are judged once."""
+    """Judges pages with a trained editor, a judge of lines and a vocabulary; words are judged once."""
 
-    def __init__(self, words: dict[str, int], editor: Editor):
-        self.words, self.editor = words, editor
+    def __init__(self, words: dict[str, int], editor: Editor, judge: Judge | None = None):
+        self.words, self.editor, self.judge = words, editor, judge or Judge()
         self.known: dict[str, str | None] = {}
         self.fine: set[str] = set()
+        # No edit makes a word of more characters that stay than the longest word has.
+        self.longest = max(map(len, words), default=0)
+        self.deletable = str.maketrans("", "", "".join(ch for ch, labels in editor.labels.items() if "" in labels))
 
     def misread(self, token: str) -> str | None:
         """The right word if the token is a misread one."""
@@ -370,7 +503,7 @@ class Reader:
         if CODE.match(token):
             return None
         for said in dict.fromkeys((word.strip(STRIP), word.strip(STRIP.replace(")", "")), word.strip(STRIP + "!"))):
-            if len(said) > 24 or sum(c.isdigit() for c in said) * 2 > len(said) or "@" in said[1:] and "." in said:
+            if len(said) > self.longest and len(said.translate(self.deletable)) > self.longest or sum(c.isdigit() for c in said) * 2 > len(said) or "@" in said[1:] and "." in said:
                 continue
             # Compounds are judged part by part.
             if "-" in said and all(p in self.words or not LETTER.search(p) for p in said.split("-")):
@@ -392,10 +525,13 @@ class Reader:
         """(start, end, whole word) of each word cut at a line end; marks that belong to a compound are none."""
         out = []
         for m in CUT.finditer(text):
-            before, after = LEFT.search(text[max(0, m.start() - 24) : m.start()]), RIGHT.match(text, m.end())
+            start = m.start()
+            while start and LETTER.match(text, start - 1):
+                start -= 1
+            before, after = text[start : m.start()], RIGHT.match(text, m.end())
             if not before or not after:
                 continue
-            left, right = canonical(before[0]).lower(), canonical(after[0]).lower()
+            left, right = canonical(before).lower(), canonical(after[0]).lower()
             if encoding._SUSPECT.search(left + right):
                 continue
             whole = left + right
@@ -406,14 +542,14 @@ class Reader:
             else:
                 good = "-" not in self.editor.edit(f"{left}-\n{right}") or self.misread(whole) is not None
             if good:
-                out.append((m.start() - len(before[0]), after.end(), before[0] + after[0]))
+                out.append((start, after.end(), before + after[0]))
         return out
 
-    def edge(self, raw: list[str], order: list[int]) -> Iterator[tuple[int, dict, tuple[str, int] | None, str | None]]:
+    def edge(self, raw: list[str], side: str, order: list[int]) -> Iterator[tuple[int, dict, tuple[str, int] | None, str | None]]:
         """Lines that may be running lines or page numbers, from the outside inward up to the first that can't be.
 
-        Each has its place: whether it is of the first two, and how many lines with wording stand outside and inside.
-        Signs alone (rules) are passed over.
+        The judge says which may be. Each has its place: whether it is of the first two, and how many lines with
+        wording stand outside and inside. Signs alone (rules) are passed over.
         """
         outside, outer, open_ = 0, None, True
         worded = None
@@ -423,10 +559,14 @@ class Reader:
             line = readable(raw[n].strip())
             if BARE.match(line):
                 continue
-            number = page_number(line) if len(line) < 30 else None
+            number = page_number(line)
+            feats = Judge.features(line, side, depth, raw, n, len(order), number[0] if number else "-")
+            if number and not self.judge.framed(feats, "number"):
+                number = None
             key = None
-            if not number and 5 <= len(line) <= 120 and line[-1] not in ".;,!?" and not HEADING.search(line) and not BODY.search(line) and len(made := shape(line)) >= 5:
-                key = made
+            if not number and self.judge.framed(feats, "header"):
+                # Numbers alone are no wording.
+                key = made if any(map(str.isalpha, made := shape(line))) else None
             # Further in, a second number is the page's only if it is the same.
             if depth >= 2 and (not (number or key) or number and outer not in (None, number[1])):
                 return
@@ -465,9 +605,8 @@ class Reader:
                 self.fine.add(token)
         marked = "\n".join(x if "­" in x or "¬" in x else readable(x) for x in raw) if strange else text
         edges, numbers = [], []
-        filled = [n for n, x in enumerate(raw) if x and not x.isspace()]
-        for side, order in (("t", filled), ("b", filled[:0:-1])):
-            for n, place, number, key in self.edge(raw, order):
+        for side, order in _edges(raw):
+            for n, place, number, key in self.edge(raw, side, order):
                 if number:
                     numbers.append({"line": n, "side": side, **place, "style": number[0], "n": number[1]})
                 else:
@@ -483,12 +622,7 @@ def _reader(bound) -> Reader:
     """One reader per worker and broadcast model."""
     model = bound.value
     if not _LAST or _LAST[0][0] is not model:
-        words, weights, labels, more = model
-        editor = Editor()
-        editor.longer = Editor()
-        editor.weights, editor.labels = weights, labels
-        editor.longer.weights, editor.longer.labels = more
-        _LAST[:] = [(model, Reader(words, editor))]
+        _LAST[:] = [(model, Reader(*model))]
     return _LAST[0][1]
 
 
@@ -557,7 +691,7 @@ def _furniture(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 def prepared(df: DataFrame, key: str, text: str, version: str, page: str):
     """The broadcast model (its size is bounded by WORD_SHARE) and what was seen on each page."""
     words, editor = _model(df, text)
-    bound = df.sparkSession.sparkContext.broadcast((words, editor.weights, editor.labels, (editor.longer.weights, editor.longer.labels)))
+    bound = df.sparkSession.sparkContext.broadcast((words, editor, _judge(df, text, version, page)))
     return bound, materialise(examined(df, bound, key, text, version, page), "pages")
 
 
