@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm import letters
-from foliant.llm.canon import canonical
+from foliant.llm.canon import LOOKALIKES, canonical
 from foliant.session import materialise
 
 # TCVN 5712 (the "ABC" fonts) from 0xA1, in its order; · stands for bytes without a letter.
@@ -157,7 +157,7 @@ PULL = 4.0
 ROUNDS = 3
 
 #: Characters that clean text of these languages does not have, so that a line without them needs no look.
-_PLAIN = "".join(ch for ch in letters.KNOWN if ch not in "°") + "".join(map(chr, [0x2002, 0x2003, 0x2007, 0x2009, 0x202F, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0x2010, 0x2011, 0xF0B7, 0x0D, *range(0x300, 0x330), *range(0xFF01, 0xFF5F), 0xFB01, 0xFB02, *range(0x391, 0x3D0), *range(0x401, 0x460), 0xD0, 0x189]))
+_PLAIN = "".join(ch for ch in letters.KNOWN if ch not in "°") + "".join(map(chr, [0x2002, 0x2003, 0x2007, 0x2009, 0x202F, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0x2010, 0x2011, 0xF0B7, 0x0D, *range(0x300, 0x330), *range(0xFF01, 0xFF5F), 0xFB01, 0xFB02, 0xD0, 0x189])) + "".join(seen for seen, _ in LOOKALIKES.values())
 SUSPECT = "[^\\x00-\\x7f" + "".join(f"\\u{ord(c):04x}" for c in sorted(_PLAIN) if ord(c) > 0x7F) + "]"
 _SUSPECT = re.compile(SUSPECT)
 #: Legacy code pages may use letters of the languages only, but then in places where none can be.
