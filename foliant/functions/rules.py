@@ -38,6 +38,28 @@ def compile_rules(c: Column, rules: Sequence[Rule]) -> Column:
     return c
 
 
+def _words(pattern: str) -> list[str]:
+    """The plain pieces of a pattern of words, in lower case: every match has them all."""
+    pieces = re.split(r"\\b|\\s[+*]|\[[^\]]*\]|\.\*\?|:\?", pattern)
+    return [x.lower() for x in pieces if len(x) > 1]
+
+
+def gated(c: Column, rules: Sequence[tuple[str, str, list[str], bool]]) -> Column:
+    """Applies rules (pattern, what replaces it, pieces that every match has in lower case, ignore case) in their order.
+
+    The rules are data of one fold over them. A rule's pattern is only run on texts with all its pieces, which are far
+    cheaper to look for than a pattern; the text's lower-case form follows every rule that was run.
+    """
+    table = F.array(*(F.struct(F.array(*map(F.lit, w)).alias("words"), F.lit(("(?iU)" if i else "(?U)") + p).alias("pattern"), F.lit(to).alias("to")) for p, to, w, i in rules))
+    pair = lambda x: F.struct(x.alias("text"), F.lower(x).alias("low"))
+
+    def one(acc: Column, rule: Column) -> Column:
+        return F.when(F.forall(rule["words"], lambda w: F.contains(acc["low"], w)), pair(F.regexp_replace(acc["text"], rule["pattern"], rule["to"]))).otherwise(acc)
+
+    # Bound to a lambda's variable, the text is computed once for both forms.
+    return F.aggregate(table, F.get(F.transform(F.array(c), pair), F.lit(0)), one, lambda acc: acc["text"])
+
+
 # Glyphs of bullets and dashes, and quotes.
 GLYPHS = [("●", "•"), ("·", "•"), ("▪", "•"), ("\uf0a7", "•"), ("\uf02d", "-"), ("—", "–"), ("−", "-"), ("„", "“"), ("‟", "”"), ("''", '"'), ("``", '"')]
 # Frequent misreadings in administrative Vietnamese, as patterns and what is right, in this order, case ignored.
@@ -64,11 +86,11 @@ MISREADINGS = [
     (r"\bMÀ\s+50\s*-U.*?THÔNG\s+TIN\s+HÀNG\s+NĂM\s+CỦA\s+NGƯỜI\s+HỌC\b", "MẪU TỜ KHAI THÔNG TIN HẰNG NĂM CỦA NGƯỜI HỌC"),
     (r"\bCCCD\s+số\b", "CCCD số"), (r"\bCCD\s+số\b", "CCCD số"), (r"\bngày cấp\b", "ngày cấp"),
 ]
-# Abbreviations that are glued to the word behind them; other glued words, case ignored.
+# Abbreviations that are glued to the word behind them; other glued words, case ignored, each with a word of it.
 GLUED = ["CTSV", "ĐRL", "CVHT", "QĐ", "BGH", "SV", "CTCT", "KHTH", "SQDB", "TTGDQP", "QK9"]
 GLUED_WORDS = [
-    (r"\b(Khoa)(tổng|thông|xét|cấp)\b", "$1 $2"), (r"\b(Phòng)(CTSV|CTCT|Đào tạo|KHTH)\b", "$1 $2"), (r"\b(PhòngCTSV)\b", "Phòng CTSV"),
-    (r"\b(đơn vị)(quản lý|đào tạo)\b", "$1 $2"), (r"\b(sinh viên)(đang|nhận|dự|có)\b", "$1 $2"),
+    (r"\b(Khoa)(tổng|thông|xét|cấp)\b", "$1 $2", "khoa"), (r"\b(Phòng)(CTSV|CTCT|Đào tạo|KHTH)\b", "$1 $2", "phòng"), (r"\b(PhòngCTSV)\b", "Phòng CTSV", "phòngctsv"),
+    (r"\b(đơn vị)(quản lý|đào tạo)\b", "$1 $2", "đơn vị"), (r"\b(sinh viên)(đang|nhận|dự|có)\b", "$1 $2", "sinh viên"),
 ]
 # Addresses, telephone numbers, spacing, dashes and watermarks of scanners.
 LINKS = [
@@ -83,10 +105,10 @@ SPACING = [
     Rule(r"\b(ngày)(\d{1,2})\b", "$1 $2"),
     Rule(r"([A-Za-zÀ-ỹ0-9])([“\"])", "$1 $2", False),
     Rule(r"([”\"])([A-Za-zÀ-ỹ0-9])", "$1 $2", False),
-    *(Rule(rf"\b({x})(?=[A-Za-zÀ-ỹ])", "$1 ", False) for x in GLUED),
-    *(Rule(a, b) for a, b in GLUED_WORDS),
 ]
-QUESTION_DASH = r"([A-Za-zÀ-ỹ0-9\)]+(?:\s+[A-Za-zÀ-ỹ0-9\)]+){0,4})\?\s+([A-ZĐÀ-Ỹ][A-Za-zÀ-ỹ0-9]+)"
+GLUED_RULES = [(rf"\b({x})(?=[A-Za-zÀ-ỹ])", "$1 ", [x.lower()], False) for x in GLUED] + [(a, b, [w], True) for a, b, w in GLUED_WORDS]
+# Of the words before a "?" only the last sign decides; they stay as they are.
+QUESTION_DASH = r"([A-Za-zÀ-ỹ0-9\)])\?\s+([A-ZĐÀ-Ỹ][A-Za-zÀ-ỹ0-9]+)"
 WATERMARKS = [Rule(r"(?m)^\s*scanned\s+with\s+(cs\s*)?camscanner\s*$", ""), Rule(r"(?m)^\s*camscanner\s*$", "")]
 
 
@@ -100,7 +122,7 @@ def basic_signs(c: Column) -> Column:
 
 def common_words(c: Column) -> Column:
     """The frequent misreadings put right, each by its own pattern: blanks match as the pattern has them."""
-    return compile_rules(c, [Rule(a, b) for a, b in MISREADINGS])
+    return gated(c, [(a, b, _words(a), True) for a, b in MISREADINGS])
 
 
 def phone_numbers(c: Column) -> Column:
@@ -121,7 +143,7 @@ def question_dashes(c: Column) -> Column:
 def common_layer(c: Column) -> Column:
     """The general layer: signs, links, telephone numbers, misreadings, spacing, dashes, signs, watermarks."""
     c = phone_numbers(compile_rules(basic_signs(c), LINKS))
-    c = clean_text(compile_rules(common_words(c), SPACING))
+    c = clean_text(gated(compile_rules(common_words(c), SPACING), GLUED_RULES))
     return clean_text(compile_rules(basic_signs(question_dashes(c)), WATERMARKS))
 
 

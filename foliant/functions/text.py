@@ -26,13 +26,13 @@ def clean_text(c: Column) -> Column:
     """No NUL, LF line ends, single blanks, two line ends at most in a row, stripped; null gives ""."""
     c = F.replace(F.coalesce(c, F.lit("")), F.lit("\0"), F.lit(""))
     c = F.regexp_replace(c, "\r\n?", "\n")
-    c = F.regexp_replace(c, "[ \t]+", " ")
+    c = F.regexp_replace(c, "[ \t]{2,}|\t", " ")  # single blanks stay
     return strip(F.regexp_replace(c, "\n{3,}", "\n\n"))
 
 
 def clean_line(c: Column) -> Column:
     """One line: white space collapsed and stripped; null gives ""."""
-    return strip(rx(F.coalesce(c, F.lit("")), r"\s+", " "))
+    return strip(rx(F.coalesce(c, F.lit("")), r"\s{2,}|[^\S ]", " "))
 
 
 def _decomposable() -> tuple[str, str, str]:

@@ -131,5 +131,7 @@ def write_documents(df: DataFrame, path: str, key: str, text: str, force: bool =
 
 
 def write_markdown(df: DataFrame, path: str, name: str, text: str) -> None:
-    """A folder of text per document, named by ``name``."""
-    df.select(F.col(name).alias("document"), F.col(text).alias("value")).write.mode("overwrite").partitionBy("document").option("lineSep", "\n").text(path)
+    """A folder with one text file per document, named by ``name``: for exports; Parquet (``write_documents``) is the
+    sink for many documents."""
+    rows = df.select(F.col(name).alias("document"), F.col(text).alias("value")).repartition("document")
+    rows.write.mode("overwrite").partitionBy("document").option("lineSep", "\n").text(path)

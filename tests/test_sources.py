@@ -65,3 +65,11 @@ def test_shared_folder(spark, tmp_path, monkeypatch):
     folder = session._work_dir(spark)
     p, fs = session.hadoop_path(spark, folder)
     assert fs.exists(p) and spark.sparkContext.applicationId in folder
+
+
+def test_markdown_files(spark, tmp_path):
+    out = str(tmp_path / "md")
+    df = spark.createDataFrame([("a", "# A\n\nmột"), ("b", "")], "name string, t string")
+    files.write_markdown(df, out, "name", "t")
+    assert [p.parent.name for p in sorted((tmp_path / "md").rglob("*.txt"))] == ["document=a", "document=b"]
+    assert next((tmp_path / "md/document=a").glob("*.txt")).read_text().rstrip("\n") == "# A\n\nmột"
