@@ -334,24 +334,22 @@ def repaired(df: DataFrame, key: str = "page_id", text: str = "raw_text", source
     """
     lines = garbled_lines(df, key, text, sources).groupBy("id").agg(F.collect_list(F.struct("line", "chain")).alias("todo"))
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType
-    broken = rows.join(lines, "id")
-    schema = T.StructType([T.StructField(key, kind), T.StructField("text", T.StringType()), T.StructField("n_lines_repaired", T.IntegerType()), T.StructField("n_lost", T.IntegerType())])
+    schema = T.StructType([T.StructField(key, rows.schema["id"].dataType), T.StructField("text", T.StringType()), T.StructField("n_lines_repaired", T.IntegerType()), T.StructField("n_lost", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, todos = (c.to_pylist() for c in batch.columns)
-            out: list[list] = [[], [], [], []]
-            for i, said, todo in zip(ids, texts, todos, strict=True):
-                parts, lost = said.split("\n"), 0
+            texts, todos = (c.to_pylist() for c in batch.columns[1:])
+            repaired_, losses = [0] * len(texts), [0] * len(texts)
+            for n, (said, todo) in enumerate(zip(texts, todos, strict=True)):
+                if not todo:
+                    continue
+                parts = said.split("\n")
                 for x in todo:
                     if x["chain"] in CHAINS:
                         parts[x["line"]] = CHAINS[x["chain"]](parts[x["line"]])
-                    lost += _lost(parts[x["line"]])
-                for column, value in zip(out, (i, "\n".join(parts), len(todo), lost), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32()), strict=True)], schema.fieldNames())
-
-    fixed = broken.mapInArrow(run, schema)
-    whole = rows.join(lines.select("id"), "id", "left_anti").select(F.col("id").alias(key), "text", F.lit(0).alias("n_lines_repaired"), F.lit(0).alias("n_lost"))
-    return whole.unionByName(fixed)
+                    losses[n] += _lost(parts[x["line"]])
+                texts[n], repaired_[n] = "\n".join(parts), len(todo)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(repaired_, pa.int32()), pa.array(losses, pa.int32())], schema.fieldNames())
+
+    # One join for all rows: texts move once, to what is to be done in them.
+    return rows.join(lines, "id", "left").select("id", "text", "todo").mapInArrow(run, schema)
