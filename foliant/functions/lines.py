@@ -29,6 +29,7 @@ SIGNATURES = ["Nơi nhận:", "KT.", "TM.", "PHÓ", "TỔNG"]
 # Starts of lines that are items after a line that announces a list.
 BULLETED = ["Sinh viên ", "Học sinh ", "Điểm trung bình", "Đánh giá rèn luyện", "Ưu tiên ", "Bản sao ", "Giấy xác nhận", "Đơn ", "Phiếu ", "Minh chứng "]
 
+# Patterns of markers.
 NUMBER = r"^(\d+\.\d+(?:\.\d+)*\.?|\d+[\.)])\s+(.+)$"
 ROMAN = r"^([IVXLCDMivxlcdm]+)[\.)]\s+(.+)$"
 LETTER = r"^([a-zA-ZđĐ])[\.)/]\s+(.+)$"

@@ -14,11 +14,13 @@ NOISE = ["BQ GIAO", "Dl)C", "DAo T~o", "TRUONGD", "D~IHQ", "cANTHa", "DQc l", "H
 # Letters with Vietnamese marks; the range that counts as letters; frequent words without marks.
 MARKED = "[àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệểễìíịỉĩòóọỏõôồốộổỗơờớợởỡùúụủũưừứựửữỳýỵỷỹđÀÁẠẢÃÂẦẤẬẨẪĂẰẮẶẲẴÈÉẸẺẼÊỀẾỆỂỄÌÍỊỈĨÒÓỌỎÕÔỒỐỘỔỖƠỜỚỢỞỠÙÚỤỦŨƯỪỨỰỬỮỲÝỴỶỸĐ]"
 LETTER = "[A-Za-zÀ-ỹĐđ]"
-FREQUENT = (
-    "bo giao duc dao tao truong dai hoc can tho cong hoa xa hoi chu nghia viet nam doc lap tu do hanh phuc quyet dinh quy che cu luat nghi so ngay thang "
-    "dieu khoan diem muc chuong phu luc ban kem theo hieu phong khoa vien trung tam don vi sinh nguoi tac suc khoe ly noi dung thuc hien duoc voi ve va cua "
-    "cho trong ngoai phoi hop bao cao trach nhiem quan lien thong tin thoi gian"
-).split()
+FREQUENT = [
+    "bo", "giao", "duc", "dao", "tao", "truong", "dai", "hoc", "can", "tho", "cong", "hoa", "xa", "hoi", "chu", "nghia", "viet", "nam", "doc", "lap",
+    "tu", "do", "hanh", "phuc", "quyet", "dinh", "quy", "che", "cu", "luat", "nghi", "so", "ngay", "thang", "dieu", "khoan", "diem", "muc", "chuong",
+    "phu", "luc", "ban", "kem", "theo", "hieu", "phong", "khoa", "vien", "trung", "tam", "don", "vi", "sinh", "nguoi", "tac", "suc", "khoe", "ly", "noi",
+    "dung", "thuc", "hien", "duoc", "voi", "ve", "va", "cua", "cho", "trong", "ngoai", "phoi", "hop", "bao", "cao", "trach", "nhiem", "quan", "lien",
+    "thong", "tin", "thoi", "gian",
+]
 
 
 def count(c: Column, pattern: str) -> Column:

@@ -249,11 +249,23 @@ def keyword_scores(text: Column, key: Column) -> Column:
     return F.struct(table.cast("int").alias("keyword_score"), form.cast("int").alias("form_score"), reasons.alias("reasons"))
 
 
+# From which scores on a page is a table or a form.
+TABLE_AT = {"keywords": 3, "with_lines": 8, "with_raster": 0.30, "lines": 45, "raster": 0.70}
+FORM_AT = {"fields": 5, "with_raster": 0.25, "with_lines": 8, "with_chars": 80, "raster": 0.80, "but_vertical": 5}
+CONTINUED_AT = {"lines": 25, "raster": 0.55, "and_vertical": 3, "keywords": 2, "with_lines": 10, "with_raster": 0.30}
+
+
+def _score(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0))
+
+
 def classified(signals: DataFrame) -> DataFrame:
     """Page signals with ``likely_table`` and ``likely_form`` decided from the scores; null scores count as 0."""
-    c = lambda name: F.coalesce(F.col(name), F.lit(0))
-    table = ((c("keyword_score") >= 3) & ((c("vector_line_count") >= 8) | (c("raster_line_score") >= 0.30))) | (c("vector_line_count") >= 45) | (c("raster_line_score") >= 0.70)
-    form = ((c("form_score") >= 5) & ((c("raster_form_score") >= 0.25) | (c("vector_line_count") >= 8) | (c("text_chars") > 80))) | ((c("raster_form_score") >= 0.80) & (c("raster_vertical_lines") < 5))
+    lines, raster, frame = _score("vector_line_count"), _score("raster_line_score"), _score("raster_form_score")
+    drawn = (lines >= TABLE_AT["with_lines"]) | (raster >= TABLE_AT["with_raster"])
+    table = ((_score("keyword_score") >= TABLE_AT["keywords"]) & drawn) | (lines >= TABLE_AT["lines"]) | (raster >= TABLE_AT["raster"])
+    filled = (frame >= FORM_AT["with_raster"]) | (lines >= FORM_AT["with_lines"]) | (_score("text_chars") > FORM_AT["with_chars"])
+    form = ((_score("form_score") >= FORM_AT["fields"]) & filled) | ((frame >= FORM_AT["raster"]) & (_score("raster_vertical_lines") < FORM_AT["but_vertical"]))
     return signals.withColumns({"likely_table": table, "likely_form": ~table & form})
 
 
@@ -288,13 +300,10 @@ def raster_scores(horizontal: Column, vertical: Column) -> Column:
 
 
 def continues_table(likely_table: str = "likely_table") -> Column:
-    c = lambda name: F.coalesce(F.col(name), F.lit(0))
-    return (
-        F.coalesce(F.col(likely_table), F.lit(False))
-        | (c("vector_line_count") >= 25)
-        | ((c("raster_line_score") >= 0.55) & (c("raster_vertical_lines") >= 3))
-        | ((c("keyword_score") >= 2) & ((c("vector_line_count") >= 10) | (c("raster_line_score") >= 0.30)))
-    )
+    lines, raster = _score("vector_line_count"), _score("raster_line_score")
+    ruled = (raster >= CONTINUED_AT["raster"]) & (_score("raster_vertical_lines") >= CONTINUED_AT["and_vertical"])
+    named = (_score("keyword_score") >= CONTINUED_AT["keywords"]) & ((lines >= CONTINUED_AT["with_lines"]) | (raster >= CONTINUED_AT["with_raster"]))
+    return F.coalesce(F.col(likely_table), F.lit(False)) | (lines >= CONTINUED_AT["lines"]) | ruled | named
 
 
 def latest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:

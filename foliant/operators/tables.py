@@ -13,6 +13,7 @@ from foliant.functions.lines import is_watermark
 from foliant.functions.text import clean_line, clean_text, form_layout, match_key, rx, strip, title_key, title_text
 from foliant.operators.pages import folded, lines_of
 
+# Patterns of the separator below a header, and of a row.
 SEPARATOR = r"^\s*\|?\s*:?-{2,}:?\s*(\|\s*:?-{1,}:?\s*)+\|?\s*$"
 ROW = r"^\s*\|.*\|\s*$"
 # Words of data rows that were taken for headers; words of real headers; keys of two known layouts.
