@@ -31,10 +31,16 @@ from foliant.llm import encoding
 from foliant.llm.canon import canonical
 from foliant.session import materialise
 
-# What scanners read for the letters before the colon.
-MISREADS = "h:li n:ri m:rn u:ii g:q g:9 i:l i:! i:1 l:1 l:I o:0 e:c s:5 b:8 d:cl n:^ a:@ t:f t:+ b:6 ậ:$ ọ:9 á:ci à:ä é:ê) z:2 y:v r:i w:vv"
-# Several letters that are read as one, and letters thin enough to be missed.
-MERGED = "rn:m li:h ri:n cl:d ii:u vv:w ci:a nn:m"
+# What scanners read (second) for a letter (first).
+MISREADS = [
+    ("h", "li"), ("n", "ri"), ("m", "rn"), ("u", "ii"), ("g", "q"), ("g", "9"), ("i", "l"), ("i", "!"), ("i", "1"), ("l", "1"),
+    ("l", "I"), ("o", "0"), ("e", "c"), ("s", "5"), ("b", "8"), ("d", "cl"), ("n", "^"), ("a", "@"), ("t", "f"), ("t", "+"),
+    ("b", "6"), ("ậ", "$"), ("ọ", "9"), ("á", "ci"), ("à", "ä"), ("é", "ê)"), ("z", "2"), ("y", "v"), ("r", "i"), ("w", "vv"),
+]
+# Several letters (first) that are read as one (second), and letters thin enough to be missed.
+MERGED = [
+    ("rn", "m"), ("li", "h"), ("ri", "n"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("ci", "a"), ("nn", "m"),
+]
 DROPPED = "ilt"
 #: Fewest times a word of the vocabulary must occur, and as a share of all words.
 WORD_LEAST, WORD_SHARE = 3, 5e-6
@@ -67,8 +73,7 @@ def _accents(ch: str) -> list[str]:
 
 def _confusions() -> dict[str, list[str]]:
     out: dict[str, list[str]] = defaultdict(list)
-    for pair in MISREADS.split():
-        true, seen = pair.split(":", 1)
+    for true, seen in MISREADS:
         out[true].append(seen)
     for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         ch = chr(c)
@@ -179,7 +184,7 @@ def _spoil(word: str, rng: random.Random, rate: float) -> list[tuple[str, str]]:
     return out
 
 
-JOINED = dict(pair.split(":") for pair in MERGED.split())
+JOINED = dict(MERGED)
 
 
 def _short(word: str) -> Iterator[list[tuple[str, str]]]:
