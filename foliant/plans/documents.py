@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliant.operators import chunks, pages, review
-from foliant.plans import sql
+from foliant.plans import sql, texts
 from foliant.session import table
 from foliant.sources import files
 
@@ -159,3 +159,10 @@ SQL = {
           CASE WHEN kind IN ({', '.join(sql.q(k) for k in files.LOCAL[1:] + files.CLOUD)}) THEN true WHEN kind = '.pdf' THEN NOT coalesce(text_pages > 0, false) OR coalesce(n_tables > 3, false) ELSE false END AS cloud, kind = '.pdf' AS by_pages FROM x""",
 }
 SQL["k01_documents"] = f"SELECT h.extract_id, header || chr(10) || coalesce(chr(10) || extracted_text, '') AS markdown FROM ({SQL['k02_headers']}) h JOIN extracted_docs USING (extract_id)"
+_NEAR = f"list_filter([{', '.join(f'{{{chr(39)}t{chr(39)}: {sql.q(t)}, {chr(39)}k{chr(39)}: {sql.match_key(sql.q(t))}}}' for t in TERMS)}], lambda x: contains(k, x.k))"
+SQL["r04_term_warnings"] = f"""WITH l AS (SELECT extract_id, line_no, {sql.clean_line('line')} AS c FROM {sql.lines('extracted_docs', 'extract_id', 'extracted_text')}),
+    k AS (SELECT *, {sql.match_key('c')} AS k FROM l WHERE c <> ''), n AS (SELECT *, {_NEAR} AS near FROM k)
+    SELECT extract_id, line_no, 'term_unmarked' AS rule, 'Dòng ' || line_no || ': nên kiểm tra thuật ngữ gần ' || array_to_string(list_transform(near[1:3], lambda x: x.t), ', ') || ' -> ' || c AS message
+    FROM n WHERE len(near) > 0 AND (contains(c, '?') OR {sql.matches('c', r'(^|[^\p{L}\p{M}\p{N}_])[Dd]ai hoc|[Ss]inh vien([^\p{L}\p{M}\p{N}_]|$)')})"""
+SQL["k06_review_reports"] = f"""SELECT extract_id, '# OCR Review Report' || chr(10) || chr(10) || 'File gốc: ' || coalesce(source_name, '') || chr(10) || chr(10) || '## Dòng/cụm cần kiểm tra' || chr(10) || '- '
+    || string_agg(message, chr(10) || '- ' ORDER BY coalesce(line_no, 2147483647), rule, message) AS report FROM ({texts.SQL['r01_warnings']}) w JOIN extracted_docs USING (extract_id) GROUP BY extract_id, source_name"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from foliant.functions.lines import suspicious_signs
 from foliant.functions.text import better_text, clean_line, first_text
 from foliant.operators import boxes, layers, pages, tables
-from foliant.plans import plain, sql
+from foliant.plans import plain, sql, texts
 from foliant.session import table
 
 PAGE = ["version_id", "page_no"]
@@ -394,3 +394,6 @@ SQL = {
     "u07_recognised": "SELECT box_id, 1 AS box_no, least(x0, x1) AS x0, least(y0, y1) AS y0, greatest(x0, x1) AS x1, greatest(y0, y1) AS y1, nullif(box_text, '') AS box_text FROM ocr_boxes WHERE x0 IS NOT NULL AND y0 IS NOT NULL AND x1 IS NOT NULL AND y1 IS NOT NULL",
     "j08_manual_routes": "SELECT version_id, unnest([4, 6, 8, 9, 10]) AS page_no FROM (SELECT DISTINCT version_id FROM raw_pages)",
 }
+SQL["d08_blocks"] = f"""SELECT page_id, '## Trang ' || page_no || chr(10) || chr(10) || '<!-- page: ' || page_no || ' -->' || chr(10) || chr(10) || '<!-- extraction: '
+    || coalesce(extraction, CASE WHEN length({sql.clean_text('raw_text')}) >= 30 THEN 'pymupdf_text' ELSE 'ocr_pdf_scan' END) || ' -->' || chr(10) || chr(10) || text || chr(10) || chr(10) || '---' AS block
+    FROM raw_pages JOIN ({texts.SQL['l02_markdown']}) m USING (page_id)"""

@@ -179,3 +179,19 @@ SQL = {
     "j06_term_warnings": f"""SELECT page_id, line_no, t.term FROM (SELECT page_id, line_no, {sql.match_key(sql.clean_line('line'))} AS key FROM {sql.lines('raw_pages', 'page_id', 'raw_text')}) l
         JOIN (SELECT term, {sql.match_key('term')} AS tk FROM (VALUES {', '.join(f"({sql.q(t)})" for t in _TERMS)}) v(term)) t ON contains(l.key, t.tk)""",
 }
+
+_EDGE = r"([^\p{L}\p{M}\p{N}_]|$)"
+_IS_ITEM = sql.matches("c", rf"^(-|[+]|•){sql.WS}+|^(\p{{Nd}}+[.]\p{{Nd}}+(?:[.]\p{{Nd}}+)*[.]?|\p{{Nd}}+[.)]){sql.WS}+|^([IVXLCDMivxlcdm]+)[.)]{sql.WS}+|^([a-zA-ZđĐ])[.)/]{sql.WS}+")
+_LINE = f"""{{'t': c, 'n': length(c), 'apart': is_structural OR {_IS_ITEM}, 'goes': {sql.matches('c', r'^\p{Ll}')} OR {sql.matches('c', '(?i)^(?:' + '|'.join(L.JOINING) + ')' + _EDGE)},
+    'open': {sql.matches('c', '[,;:–-]$')} OR {sql.matches('lower(c)', _OPEN)}, 'stop': {sql.matches('c', '[.;:!?]$')}, 'upper': upper(c) = c, 'letter': {sql.matches('c', r'\p{L}')}}}"""
+_STATE = lambda text, n, upper, letter: f"{{'t': {text}, 'n': {n}, 'apart': false, 'goes': false, 'open': x.open, 'stop': x.stop, 'upper': {upper}, 'letter': {letter}}}"
+#: The fold over a page's lines: each is the state that the next one meets.
+SQL["w05_merged_lines"] = f"""WITH bl AS (SELECT page_id, line_no AS ln, line AS t FROM ({SQL['w03_bullets']})), {sql.marker_cte('bl', 'page_id, ln', 't')}, {sql.heading_cte()},
+    g AS (SELECT page_id, list({_LINE} ORDER BY ln) AS xs FROM f GROUP BY page_id),
+    r AS (SELECT page_id, list_reduce(xs, lambda a, x: CASE WHEN NOT x.apart AND NOT a.stop AND NOT (a.n > 8 AND a.letter AND a.upper) AND (a.open OR x.goes)
+        THEN {_STATE("a.t || ' ' || x.t", 'a.n + 1 + x.n', 'x.upper AND a.upper', 'x.letter OR a.letter')} ELSE {_STATE('a.t || chr(10) || x.t', 'x.n', 'x.upper', 'x.letter')} END).t AS t FROM g),
+    o AS (SELECT page_id, replace(regexp_replace(t, '(?i)(các tiêu chí sau đây){sql.WS}+-{sql.WS}+', '\\1:' || chr(10) || '- ', 'g'), 'Trân trọng cảm ơn./ Nơi nhận:', 'Trân trọng cảm ơn./.' || chr(10) || 'Nơi nhận:') AS t FROM r)
+    SELECT page_id, coalesce({sql.clean_text('t')}, '') AS text FROM raw_pages LEFT JOIN o USING (page_id)"""
+SQL["l02_markdown"] = f"""WITH w AS (SELECT page_id, text AS t FROM ({SQL['w05_merged_lines']})), {sql.marker_cte('w', 'page_id', 't')}, {sql.heading_cte()},
+    d AS (SELECT page_id, string_agg({sql.MARKDOWN}, chr(10) || chr(10) ORDER BY line_no) AS md FROM f WHERE c <> '' GROUP BY page_id)
+    SELECT page_id, coalesce(md, '') AS text FROM raw_pages LEFT JOIN d USING (page_id)"""
