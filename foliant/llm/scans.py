@@ -57,7 +57,7 @@ MARK = "-­¬‐‑"
 CUT = re.compile(rf"[{MARK}][ \t]*\r?\n\s*")
 RIGHT = re.compile(r"[^\W\d_]+")
 STRIP = ".,;:?()[]\"“”‘’'«»…|/*_–—- "
-WORD = re.compile(r"[^\s|/]+")
+WORD, TOKEN = re.compile(r"[^\s|/]+"), re.compile(r"\S+")
 CODE = re.compile(r"\W*[A-Z]{1,4}-?\d+\W*$")
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -487,6 +487,7 @@ class Reader:
         self.words, self.editor, self.judge = words, editor, judge or Judge()
         self.known: dict[str, str | None] = {}
         self.fine: set[str] = set()
+        self.stays: set[str] = set()
         # No edit makes a word of more characters that stay than the longest word has.
         self.longest = max(map(len, words), default=0)
         self.deletable = str.maketrans("", "", "".join(ch for ch, labels in editor.labels.items() if "" in labels))
@@ -518,6 +519,27 @@ class Reader:
                     return right
         return None
 
+    def mended(self, line: str) -> str:
+        """The line with its misread words right. Most of what stands between blanks is known to stay as it is."""
+        changed: dict[str, str] = {}
+        for token in line.split():
+            if token not in self.stays and token not in changed:
+                if (new := WORD.sub(self._mended, token)) != token:
+                    changed[token] = new
+                else:
+                    if len(self.stays) > 500_000:
+                        self.stays.clear()
+                    self.stays.add(token)
+        return TOKEN.sub(lambda m: changed.get(m[0], m[0]), line) if changed else line
+
+    def _mended(self, m: re.Match[str]) -> str:
+        token = m[0]
+        right = self.misread(canonical(token))
+        if right is None:
+            return token
+        core = token.strip(STRIP)
+        return token.replace(core, right.upper() if core.isupper() and len(core) > 1 else right.capitalize() if core[:1].isupper() else right, 1)
+
     def readings(self, said: str) -> Iterator[str]:
         """The word edited, with letters put in, and both; each is made only if those before it are no word."""
         yield (fixed := self.editor.edit(said))
@@ -725,17 +747,9 @@ def tidy(text: str, furniture: set[int], reader: Reader) -> str:
     for start, end, whole in reversed(reader.cut_words(text)):
         text = text[:start] + whole + text[end:]
 
-    def fix(m: re.Match[str]) -> str:
-        token = m[0]
-        right = reader.misread(canonical(token))
-        if right is None:
-            return token
-        core = token.strip(STRIP)
-        return token.replace(core, right.upper() if core.isupper() and len(core) > 1 else right.capitalize() if core[:1].isupper() else right, 1)
-
     out: list[str] = []
     for raw in text.split("\n"):
-        line = WORD.sub(fix, raw.strip())
+        line = reader.mended(raw.strip())
         if not line:
             out.append("")
         elif out and out[-1] and not ITEM.search(line) and not HEADING.search(line) and not HEADING.search(out[-1]) and "\t" not in line and "   " not in line and not re.search(r"[.!?:;]$", out[-1]):
